@@ -8,7 +8,7 @@ from matchlytics.functions.clean import (
     year_bucket,
 )
 from matchlytics.functions.metrics import match_result, padj, per90, rate, safe_sum
-from matchlytics.functions.nested import coalesce_leaf, field, first_point, has_field, hash_key, optional_col
+from matchlytics.functions.nested import coalesce_leaf, field, first_point, has_field, hash_key, id_from_path, optional_col
 from matchlytics.functions.pitch import in_rect, pitch_zone
 
 __all__ = [
@@ -21,6 +21,7 @@ __all__ = [
     "first_point",
     "has_field",
     "hash_key",
+    "id_from_path",
     "in_rect",
     "match_result",
     "null_outside",

@@ -59,3 +59,8 @@ def hash_key(*cols: Column | str) -> Column:
     """Surrogate key that every run and every partition computes alike."""
     parts = [F.coalesce(as_col(c).cast("string"), F.lit("")) for c in cols]
     return F.md5(F.concat_ws("~", *parts))
+
+
+def id_from_path(path: Column | str) -> Column:
+    """The number that names a JSON document, NULL if there is none."""
+    return F.nullif(F.regexp_extract(as_col(path), r"(\d+)\.json", 1), F.lit("")).try_cast("bigint")

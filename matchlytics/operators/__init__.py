@@ -37,7 +37,7 @@ from matchlytics.operators.ordered import (
 )
 from matchlytics.operators.playing_time import intervals_played, spans_played
 from matchlytics.operators.quality import check_fk, check_rules, check_unique, null_profile, split_rejects, tag_rejects
-from matchlytics.operators.shape import flatten, role_rows, standardise
+from matchlytics.operators.shape import flatten, role_rows, standardise, typed
 
 __all__ = [
     "broadcast_if_small",
@@ -81,6 +81,7 @@ __all__ = [
     "tag_rejects",
     "temporal_lookup",
     "top_k",
+    "typed",
     "upsert",
     "with_previous",
 ]

@@ -15,6 +15,11 @@ def flatten(df: DataFrame, fields: Mapping[str, Column | str | tuple]) -> DataFr
     return df.select(*[field(source).alias(name) for name, source in fields.items()])
 
 
+def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
+    """Columns cast to ``{name: type}``; a value that does not fit becomes NULL."""
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+
+
 def role_rows(
     df: DataFrame,
     roles: Mapping[str, Mapping[str, Column | str]],

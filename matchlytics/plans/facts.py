@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from matchlytics.functions import clock_seconds, coalesce_leaf, date_key, first_point, null_outside, pitch_zone
 from matchlytics.functions import values as V
-from matchlytics.operators import flatten, null_safe_lookup, temporal_lookup
+from matchlytics.operators import flatten, null_safe_lookup, temporal_lookup, typed
 
 
 def flat_events(events: DataFrame, legacy_null_zone: bool = False) -> DataFrame:
@@ -84,9 +84,5 @@ def fact_event(
     facts = null_safe_lookup(
         facts, play_pattern_dim.dropna(subset=["play_pattern_id"]), ["play_pattern_id"], ["play_pattern_sk"]
     )
-    return (
-        facts.withColumn("date_id", date_key("match_date"))
-        .where(F.col("date_id").isNotNull())
-        .withColumns({c: F.col(c).try_cast(t) for c, t in DECIMALS.items()})
-        .select(*FACT_EVENT)
-    )
+    dated = facts.withColumn("date_id", date_key("match_date")).where(F.col("date_id").isNotNull())
+    return typed(dated, DECIMALS).select(*FACT_EVENT)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from matchlytics.functions import id_from_path
 from matchlytics.sources.schemas import RAW
 
 
@@ -41,5 +42,4 @@ def read_raw(
         raise MissingSource(f"no raw {kind} under {base}")
     if "match_id" in df.columns:
         return df
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"(\d+)\.json", 1)
-    return df.select(F.nullif(name, F.lit("")).try_cast("bigint").alias("match_id"), "*")
+    return df.select(id_from_path("_metadata.file_path").alias("match_id"), "*")
