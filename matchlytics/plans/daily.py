@@ -41,10 +41,11 @@ class Warehouse:
         return replace_partitions(ranged.withColumn("created_at", F.current_timestamp()), self.path(table), BY_DAY)
 
 
-def land(spark: SparkSession, root: str, wh: Warehouse, date: str, config: DataFrame | None = None) -> None:
+def land(spark: SparkSession, root: str, wh: Warehouse, date: str, config: DataFrame | None = None) -> int:
     """Parses a day's JSON once into Parquet, a partition per kind and day.
 
     ``config(competition_name, season_name)`` restricts the matches, and with them lineups and events.
+    Returns the number of matches.
     """
     matches = only_date(read_raw(spark, root, "matches", date), "match_date", date)
     if config is not None:
@@ -52,10 +53,13 @@ def land(spark: SparkSession, root: str, wh: Warehouse, date: str, config: DataF
             {"competition_name": F.col("competition.competition_name"), "season_name": F.col("season.season_name")}
         )
         matches = only_configured(named, config, ["competition_name", "season_name"]).drop("competition_name", "season_name")
-    replace_partitions(matches, wh.path("landed_matches"), ["date"])
+    landed = replace_partitions(matches, wh.path("landed_matches"), ["date"])
+    if not landed:
+        return 0
     for kind in ("lineups", "events"):
         rows = read_raw(spark, root, kind, date).join(matches.select("match_id"), "match_id", "left_semi")
         replace_partitions(rows, wh.path(f"landed_{kind}"), ["date"])
+    return landed
 
 
 def _merge_versions(wh: Warehouse, date: str) -> list[str]:
@@ -103,7 +107,8 @@ def _merge_versions(wh: Warehouse, date: str) -> list[str]:
 def run(spark: SparkSession, root: str, out: str, date: str, config: DataFrame | None = None) -> dict[str, int]:
     """Loads a day and whatever earlier or later days it changes; returns rows written per fact table."""
     wh = Warehouse(spark, out)
-    land(spark, root, wh, date, config)
+    if not land(spark, root, wh, date, config):
+        return {}
     days = _merge_versions(wh, date)
 
     in_days = F.col("date").isin(*[F.lit(d).cast("date") for d in days])
