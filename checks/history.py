@@ -34,6 +34,10 @@ VERSION_COLUMNS_SQL = """
            strftime(effective_to, '%Y-%m-%d') AS effective_to, effective_to = DATE '9999-12-31' AS is_current FROM v"""
 
 
+def last_order(t):
+    return t.orders.agg(F.max(F.to_date("o_orderdate"))).scalar()
+
+
 def _shown(versions):
     keyed = versions.select(hash_key("o_custkey", "effective_from").alias("version_sk"), "*")
     return keyed.withColumns({c: text(c) for c in ("effective_from", "effective_to")})
@@ -69,6 +73,7 @@ def q15_temporal_lookup(t):
         "l_shipdate",
         {"priority": "o_orderpriority", "status": "o_orderstatus"},
         period="year",
+        horizon=last_order(t),
     )
     return found.groupBy("priority", "status").agg(F.count("*").alias("lines"), total("l_quantity").alias("quantity"))
 
@@ -85,7 +90,7 @@ def q16_two_roles_of_a_dimension(t):
     lines = t.lineitem.select("l_orderkey", "l_shipdate").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     dim = scd2(t.orders, **VERSIONS).withColumnRenamed("o_orderpriority", "priority")
     for role, day in (("order_", "o_orderdate"), ("ship_", "l_shipdate")):
-        lines = temporal_lookup(lines, dim, ["o_custkey"], day, ["priority"], prefix=role, period="year")
+        lines = temporal_lookup(lines, dim, ["o_custkey"], day, ["priority"], prefix=role, period="year", horizon=last_order(t))
     return lines.groupBy("order_priority", "ship_priority").agg(F.count("*").alias("lines"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.history import VERSIONS, VERSIONS_SQL
+from checks.history import VERSIONS, VERSIONS_SQL, last_order
 from checks.registry import query, text, total
 from checks.scalars import ZONE_SQL, xy
 from checks.windows import week
@@ -205,6 +205,7 @@ def q22_event_fact(t):
         "o_orderdate",
         {"priority": "o_orderpriority"},
         period="year",
+        horizon=last_order(t),
     )
     facts = null_safe_lookup(
         facts, types.withColumn("type_sk", hash_key("flag", "status")), ["flag", "status"], ["type_sk"]

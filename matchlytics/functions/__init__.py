@@ -5,6 +5,7 @@ from matchlytics.functions.clean import (
     date_key,
     null_outside,
     short_name,
+    to_decimal,
     year_bucket,
 )
 from matchlytics.functions.metrics import match_result, padj, per90, rate, safe_sum
@@ -32,5 +33,6 @@ __all__ = [
     "rate",
     "safe_sum",
     "short_name",
+    "to_decimal",
     "year_bucket",
 ]

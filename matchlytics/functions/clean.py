@@ -16,6 +16,16 @@ def null_outside(c: Column | str, lo, hi) -> Column:
     return F.when(c.between(lo, hi), c)
 
 
+def to_decimal(c: Column | str, type: str) -> Column:
+    """A number as ``decimal(p,s)``, NULL if it has too many digits before the point.
+
+    The size is tested first: a cast that fails costs an exception, far more than the test, on each row.
+    """
+    c = as_col(c)
+    precision, scale = (int(n) for n in type.removeprefix("decimal(").removesuffix(")").split(","))
+    return F.when(F.abs(c) < F.lit(10.0 ** (precision - scale)), c).try_cast(type)
+
+
 def _ladder(steps: Sequence[tuple[Column, str]], default: str) -> Column:
     first, *rest = steps
     chain = reduce(lambda acc, s: acc.when(s[0], F.lit(s[1])), rest, F.when(first[0], F.lit(first[1])))

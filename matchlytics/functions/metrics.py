@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from matchlytics.functions.clean import to_decimal
 from matchlytics.functions.nested import as_col
 
 
@@ -30,4 +31,4 @@ def safe_sum(c: Column | str, type: str = "decimal(18,6)", limit: float | None =
     """Sum in exact decimals; NULL counts as 0, as does a value beyond ``limit`` in size."""
     c = as_col(c)
     value = c if limit is None else F.when(F.abs(c) <= limit, c)
-    return F.sum(F.coalesce(value.try_cast(type), F.lit(0).cast(type)))
+    return F.sum(F.coalesce(to_decimal(value, type), F.lit(0).cast(type)))

@@ -48,6 +48,7 @@ def temporal_lookup(
     prefix: str = "",
     valid: tuple[str, str] = ("effective_from", "effective_to"),
     period: str | None = None,
+    horizon: Column | None = None,
 ) -> DataFrame:
     """Left join with the version of ``dim`` that was valid at ``facts.at``; unmatched facts are kept.
 
@@ -55,7 +56,8 @@ def temporal_lookup(
 
     With ``period`` ("year" or "month") each version is laid out over the periods it touches, and the period joins
     the equality keys: a key with many facts and many versions is then split by time, and a fact only meets the
-    versions of its own period.
+    versions of its own period. Open versions are laid out up to ``horizon``, a day after which none starts, such as
+    ``table.agg(max(day)).scalar()``; left out, it is found by a scan of ``dim``.
     """
     pairs, taken = _pairs(keys), _taken(take, prefix)
     start, end = valid
@@ -69,7 +71,7 @@ def temporal_lookup(
     if period:
         slot = _SLOTS[period]
         # No version starts after the horizon, so all later days can share its slot.
-        horizon = versions.agg(F.max("__from")).scalar()
+        horizon = versions.agg(F.max("__from")).scalar() if horizon is None else horizon
         versions = versions.withColumn(
             "__slot", F.explode(F.sequence(slot(F.col("__from")), slot(F.least("__to", horizon))))
         )

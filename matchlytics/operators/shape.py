@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from matchlytics.functions.clean import to_decimal
 from matchlytics.functions.nested import as_col, field
 from matchlytics.operators.lookup import broadcast_if_small
 
@@ -17,7 +18,12 @@ def flatten(df: DataFrame, fields: Mapping[str, Column | str | tuple]) -> DataFr
 
 def typed(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     """Columns cast to ``{name: type}``; a value that does not fit becomes NULL."""
-    return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
+
+    def cast(c: str, type: str) -> Column:
+        numeric = isinstance(df.schema[c].dataType, T.NumericType)
+        return to_decimal(c, type) if numeric and type.startswith("decimal(") else F.col(c).try_cast(type)
+
+    return df.withColumns({c: cast(c, t) for c, t in types.items()})
 
 
 def role_rows(

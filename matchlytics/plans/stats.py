@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchlytics.functions import date_key, field, in_rect, match_result, rate
+from matchlytics.functions import date_key, field, in_rect, match_result, rate, to_decimal
 from matchlytics.functions import values as V
 from matchlytics.operators import cond_counts, flatten, next_value, opponent_total, spans_played, temporal_lookup
 
@@ -160,8 +160,8 @@ def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFr
         "match_sk",
         "team_sk",
         *[F.col(c).cast("int") for c in PLAYER_COUNTS],
-        F.col("xg").try_cast("decimal(6,3)").alias("xg_total"),
-        F.coalesce("xa", F.lit(0)).try_cast("decimal(6,3)").alias("xa_total"),
+        to_decimal(F.col("xg"), "decimal(6,3)").alias("xg_total"),
+        to_decimal(F.coalesce("xa", F.lit(0)), "decimal(6,3)").alias("xa_total"),
     ).dropna(subset=["player_sk", "team_sk", "date_id"])
 
 
@@ -207,11 +207,11 @@ def team_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFram
             at_home("away_team_sk", "home_team_sk").alias("opponent_team_sk"),
             "match_sk",
             home.alias("is_home"),
-            possession("ball_time", "ball_time_match").try_cast("decimal(5,2)").alias("possession_pct"),
-            rate("passes_opponent", "defensive_actions").try_cast("decimal(6,2)").alias("ppda"),
-            rate("passes_high_opponent", "defensive_actions_high").try_cast("decimal(6,2)").alias("ppda_high"),
-            F.col("xg").try_cast("decimal(6,3)").alias("total_xg"),
-            F.col("xg_opponent").try_cast("decimal(6,3)").alias("conceded_xg"),
+            to_decimal(possession("ball_time", "ball_time_match"), "decimal(5,2)").alias("possession_pct"),
+            to_decimal(rate("passes_opponent", "defensive_actions"), "decimal(6,2)").alias("ppda"),
+            to_decimal(rate("passes_high_opponent", "defensive_actions_high"), "decimal(6,2)").alias("ppda_high"),
+            to_decimal(F.col("xg"), "decimal(6,3)").alias("total_xg"),
+            to_decimal(F.col("xg_opponent"), "decimal(6,3)").alias("conceded_xg"),
             at_home("home_score", "away_score").alias("goals_scored"),
             at_home("away_score", "home_score").alias("goals_conceded"),
         )

@@ -70,7 +70,7 @@ def test_counts_and_constraints(spark, in_order):
     assert read("fact_event").where(F.col("team_sk").isNull() | F.col("event_type_sk").isNull()).count() == 0
 
 
-@pytest.mark.parametrize("order", [(0, 2, 3, 1), (3, 2, 1, 0)])
+@pytest.mark.parametrize("order", [(2, 0, 3, 1)])
 def test_order_of_loads_does_not_matter(spark, root, in_order, tmp_path, order):
     load(spark, root, tmp_path, [GAMES[i]["match_date"] for i in order])
     got, want = content(spark, tmp_path), content(spark, in_order)
