@@ -62,7 +62,7 @@ def events(t):
         ).alias("pass"),
         _of(
             "purchase",
-            (v / 700).alias("statsbomb_xg"),
+            (v * 0.0013579).alias("statsbomb_xg"),
             F.array(F.lit(120.0), F.lit(40.0)).alias("end_location"),
             _named(F.when(v > 100, "Goal").otherwise("Saved")).alias("outcome"),
         ).alias("shot"),
@@ -164,7 +164,7 @@ TEAM_STATS_SQL = """
     tm AS (SELECT date_id, team, count(*) FILTER (kind = 'click') AS passes, count(*) FILTER (kind IN ('view', 'error')) AS actions,
                   count(*) FILTER (kind = 'click' AND k * 1.2::DOUBLE >= 40) AS passes_high,
                   count(*) FILTER (kind IN ('view', 'error') AND k * 1.2::DOUBLE >= 40) AS actions_high,
-                  sum(CAST(CASE WHEN kind = 'purchase' THEN v / 700 ELSE 0 END AS DECIMAL(18,10))) AS xg,
+                  sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg,
                   sum(CAST(v AS DECIMAL(18,6))) AS ball FROM e GROUP BY ALL),
     ts AS (SELECT date_id, g.match_sk, tm.team, CASE WHEN team = 1 THEN home_sk ELSE away_sk END AS team_sk,
                   CASE WHEN team = 1 THEN away_sk ELSE home_sk END AS opponent_team_sk, team = 1 AS is_home,
@@ -179,7 +179,7 @@ TEAM_STATS_SQL = """
 PLAYER_STATS_SQL = """
     nx AS (SELECT date_id, player, kind, lead(kind) OVER w AS next_kind, lead(v) OVER w AS next_v FROM e
            WINDOW w AS (PARTITION BY date_id ORDER BY idx)),
-    xa AS (SELECT date_id, player, sum(CAST(next_v / 700 AS DECIMAL(18,10))) AS xa FROM nx
+    xa AS (SELECT date_id, player, sum(CAST(next_v * 0.0013579::DOUBLE AS DECIMAL(18,10))) AS xa FROM nx
            WHERE kind = 'click' AND next_kind = 'purchase' GROUP BY ALL),
     ends AS (SELECT date_id, max(minute) AS end_min FROM e GROUP BY ALL),
     pm AS (SELECT date_id, team, player, count(*) FILTER (kind = 'signup') AS listed, min(minute) FILTER (kind = 'error' AND v > 200) AS off,
@@ -189,7 +189,7 @@ PLAYER_STATS_SQL = """
                   count(*) FILTER (k * 1.2::DOUBLE >= 102 AND least(v, 80.0::DOUBLE) BETWEEN 18 AND 62) AS touches_in_box,
                   count(*) FILTER (kind = 'view' AND v > 5) AS tackles_total, count(*) FILTER (kind = 'view' AND v > 50) AS tackles_won,
                   count(*) FILTER (kind = 'error' AND v > 100 AND v <= 200) AS yellow_cards, count(*) FILTER (kind = 'error' AND v > 200) AS red_cards,
-                  sum(CAST(CASE WHEN kind = 'purchase' THEN v / 700 ELSE 0 END AS DECIMAL(18,10))) AS xg FROM e GROUP BY ALL),
+                  sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg FROM e GROUP BY ALL),
     pstats AS (SELECT pm.date_id, p.player_sk, g.match_sk, t.team_sk, CAST(coalesce(off, end_min) AS INTEGER) AS minutes_played,
                   CAST(total_passes AS INTEGER) AS total_passes, CAST(accurate_passes AS INTEGER) AS accurate_passes,
                   CAST(total_shots AS INTEGER) AS total_shots, CAST(goals AS INTEGER) AS goals, CAST(assists AS INTEGER) AS assists,
@@ -269,7 +269,7 @@ def _zone_sql(x, y):
            CAST({_zone_sql('ex', 'ey')} AS INTEGER) AS end_location_id, count(*) AS events, count(DISTINCT p.player_sk) AS players,
            CAST(sum(CAST(x AS DECIMAL(5,2))) AS DOUBLE) AS x, CAST(sum(CAST(ey AS DECIMAL(5,2))) AS DOUBLE) AS end_y,
            round(CAST(sum(CAST(s AS DECIMAL(10,3))) FILTER (s <= 18000) AS DOUBLE), 3) AS seconds,
-           CAST(sum(CAST(CASE WHEN kind = 'purchase' THEN v / 700 END AS DECIMAL(6,4))) AS DOUBLE) AS xg,
+           CAST(sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE END AS DECIMAL(6,4))) AS DOUBLE) AS xg,
            CAST(sum(CAST(CASE WHEN kind = 'click' THEN k / 100 END AS DECIMAL(6,4))) AS DOUBLE) AS angle,
            count(*) FILTER (k >= 50) AS under_pressure
     FROM f JOIN games g USING (date_id) JOIN teams t ON t.team = f.team AND f.day BETWEEN t.f AND t.u JOIN players p ON p.player = f.player
@@ -322,7 +322,7 @@ def q66_season_stats(t):
 
 @query(f"""
     WITH {BASE_SQL},
-    p AS (SELECT date_id, team, period, sum(CAST(CASE WHEN kind = 'purchase' THEN v / 700 ELSE 0 END AS DECIMAL(18,10))) AS xg,
+    p AS (SELECT date_id, team, period, sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg,
                  sum(CAST(v AS DECIMAL(18,6))) AS ball FROM e GROUP BY GROUPING SETS ((date_id, team, period), (date_id, team)))
     SELECT CAST(date_id AS VARCHAR) AS match_natural_id, CAST(team AS VARCHAR) AS team_natural_id, CAST(period AS BIGINT) AS period,
            CAST(0 AS BIGINT) AS pressures, CAST(0 AS BIGINT) AS recoveries,
@@ -432,7 +432,7 @@ def q74_formation_usage(t):
 @query(f"""
     WITH {BASE_SQL}
     SELECT 'P' || (k // 25) AS play_pattern, count(*) AS shots, count(*) FILTER (v > 100) AS goals,
-           CAST(CAST(sum(CAST(v / 700 AS DECIMAL(18,10))) AS DECIMAL(12,3)) AS DOUBLE) AS xg,
+           CAST(CAST(sum(CAST(v * 0.0013579::DOUBLE AS DECIMAL(18,10))) AS DECIMAL(12,3)) AS DOUBLE) AS xg,
            round(count(*) FILTER (v > 100) / count(*) * 100, 4) AS conversion_pct
     FROM e WHERE kind = 'purchase' GROUP BY 1""")
 def q75_play_pattern_effect(t):
