@@ -86,14 +86,17 @@ def matches(t):
     goal = (F.col("event_type") == "purchase") & (F.col("value") > 100)
     odd = F.col("user_id").bitwiseAND(1) == 1
     days = t.events.groupBy(F.to_date("ts").alias("day")).agg(
-        F.count_if(goal & ~odd).alias("home_score"), F.count_if(goal & odd).alias("away_score")
+        F.count_if(goal & ~odd).alias("home_score"),
+        F.count_if(goal & odd).alias("away_score"),
+        F.min(F.col("user_id").bitwiseAND(1) + 1).alias("home_id"),
+        F.max(F.col("user_id").bitwiseAND(1) + 1).alias("away_id"),
     )
 
-    def team(side, id, manager):
+    def team(side, manager):
+        id = F.col(f"{side}_id")
+        name = F.concat(F.lit("Team "), id)
         managers = F.array(_named(manager)).alias("managers")
-        return F.struct(
-            F.lit(id).cast("bigint").alias(f"{side}_team_id"), F.lit(f"Team {id}").alias(f"{side}_team_name"), managers
-        ).alias(f"{side}_team")
+        return F.struct(id.alias(f"{side}_team_id"), name.alias(f"{side}_team_name"), managers).alias(f"{side}_team")
 
     return days.select(
         date_key("day").cast("bigint").alias("match_id"),
@@ -103,8 +106,8 @@ def matches(t):
         F.struct(F.lit("League").alias("competition_name")).alias("competition"),
         _named(F.lit("Regular Season")).alias("competition_stage"),
         F.dayofmonth("day").cast("bigint").alias("match_week"),
-        team("home", 1, F.concat(F.lit("M"), text(F.date_trunc("week", "day")))),
-        team("away", 2, F.lit("B")),
+        team("home", F.concat(F.lit("M"), text(F.date_trunc("week", "day")))),
+        team("away", F.lit("B")),
         "home_score",
         "away_score",
         _named(F.concat(F.lit(" Ground "), F.dayofweek("day"))).alias("stadium"),

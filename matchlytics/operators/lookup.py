@@ -10,15 +10,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 from matchlytics.functions.nested import as_col
 
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 32 * 2**20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if a counting job finds at most ``max_rows`` rows.
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if a job finds at most ``max_rows`` rows that take at most ``max_bytes`` as text.
 
     For narrow derived tables, whose size Spark can only guess from their much larger input. A bigger table comes
     back without the hint and is joined by shuffle.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    row = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(row), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def _pairs(keys: Sequence[str] | Mapping[str, str]) -> list[tuple[str, str]]:

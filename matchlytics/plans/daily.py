@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from matchlytics.functions import date_key, year_bucket
-from matchlytics.operators import changed_starts, only_configured, only_date, temporal_lookup, upsert
+from matchlytics.operators import changed_starts, only_configured, only_date, tag_rejects, temporal_lookup, upsert
 from matchlytics.plans import dimensions as D
 from matchlytics.plans import stats as S
 from matchlytics.plans.facts import fact_event
@@ -15,6 +15,8 @@ from matchlytics.sources import read_raw, read_table, replace_partitions, replac
 FIRST_YEAR, LAST_YEAR = 2017, 2020
 
 BY_DAY = ["year_range", "date_id"]
+# An event lacking one of these keeps its row, with the reason in ``reject_reason``: one pass writes both kinds.
+REQUIRED_KEYS = ("match_sk", "team_sk", "event_type_sk")
 
 
 class Warehouse:
@@ -32,7 +34,11 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         return table_exists(self.spark, self.path(table))
 
+    def replace(self, table: str, rows: DataFrame) -> None:
+        replace_table(rows.withColumn("created_at", F.current_timestamp()), self.path(table))
+
     def merge(self, table: str, rows: DataFrame, keys: list[str]) -> None:
+        rows = rows.withColumn("created_at", F.current_timestamp())
         replace_table(upsert(self.read(table), rows, keys) if self.exists(table) else rows, self.path(table))
 
     def write_days(self, table: str, rows: DataFrame) -> int:
@@ -89,12 +95,12 @@ def _merge_versions(wh: Warehouse, date: str) -> list[str]:
     stale = {date}
     for table, (key, observations, merge, build) in merged.items():
         if not wh.exists(table):
-            replace_table(build(), wh.path(table))
+            wh.replace(table, build())
             continue
         before = wh.read(table)
         staged = wh.path(f"{table}__before")
         before.write.mode("overwrite").parquet(staged)
-        replace_table(merge(before), wh.path(table))
+        wh.replace(table, merge(before))
         moved = changed_starts(wh.spark.read.parquet(staged), wh.read(table), key)
         touched = temporal_lookup(
             observations.select(key, "match_date"), moved.withColumn("moved", F.lit(True)), [key], "match_date", ["moved"]
@@ -116,7 +122,7 @@ def run(spark: SparkSession, root: str, out: str, date: str, config: DataFrame |
     teams, players = wh.read("dim_team"), wh.read("dim_player")
 
     wh.merge("dim_date", D.date_dim(matches), ["date_id"])
-    replace_table(D.zone_dim(spark), wh.path("dim_location"))
+    wh.replace("dim_location", D.zone_dim(spark))
     wh.merge("dim_event_type", D.event_type_dim(events), ["event_type_sk"])
     wh.merge("dim_play_pattern", D.play_pattern_dim(events), ["play_pattern_sk"])
     wh.merge("dim_match", D.match_dim(matches, teams), ["match_natural_id"])
@@ -125,7 +131,10 @@ def run(spark: SparkSession, root: str, out: str, date: str, config: DataFrame |
     written = {
         "fact_event": wh.write_days(
             "fact_event",
-            fact_event(events, match_dim, teams, players, wh.read("dim_event_type"), wh.read("dim_play_pattern")),
+            tag_rejects(
+                fact_event(events, match_dim, teams, players, wh.read("dim_event_type"), wh.read("dim_play_pattern")),
+                {key: F.col(key).isNotNull() for key in REQUIRED_KEYS},
+            ),
         ),
         "fact_player_match_stats": wh.write_days(
             "fact_player_match_stats", S.player_match_stats(events, match_dim, teams, players)

@@ -1,21 +1,12 @@
 from __future__ import annotations
 
 import pytest
-from pyspark.sql import SparkSession
+
+from matchlytics.session import local
 
 
 @pytest.fixture(scope="session")
 def spark():
-    session = (
-        SparkSession.builder.master("local[8]")
-        .appName("matchlytics-tests")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
+    session = local(8, shuffle_partitions=4)
     yield session
     session.stop()

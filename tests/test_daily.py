@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from matchlytics.operators import check_intervals, check_unique
 from matchlytics.plans import daily
+from matchlytics.plans.constraints import violations
+from matchlytics.plans.marts import build_marts
 from matchlytics.sources import read_table
 from tests import league as L
 
@@ -35,9 +36,9 @@ def root(tmp_path_factory):
     return str(folder)
 
 
-def load(spark, root, out, order):
+def load(spark, root, out, order, config=None):
     for day in order:
-        written = daily.run(spark, root, str(out), day)
+        written = daily.run(spark, root, str(out), day, config)
     return written
 
 
@@ -63,16 +64,17 @@ def test_counts_and_constraints(spark, in_order):
 
     assert read("dim_match").count() == 4 and read("fact_team_match_stats").count() == 8
     assert read("dim_team").where("team_natural_id = '1'").count() == 3
-    for table, key in (("dim_team", "team_natural_id"), ("dim_player", "player_natural_id")):
-        assert check_intervals(read(table), key).count() == 0
-    assert check_unique(read("fact_player_match_stats"), ["player_sk", "match_sk"]).count() == 0
-    assert check_unique(read("fact_player_season_stats"), ["player_sk", "team_sk", "season"]).count() == 0
-    assert read("fact_event").where(F.col("team_sk").isNull() | F.col("event_type_sk").isNull()).count() == 0
+    found = violations({name: read(name) for name in TABLES})
+    assert found.where("violations > 0").collect() == [] and found.count() > 40
+    assert read("fact_event").where("reject_reason is not null").count() == 0
+    assert all("created_at" in read(name).columns for name in TABLES)
 
 
 @pytest.mark.parametrize("order", [(2, 0, 3, 1)])
 def test_order_of_loads_does_not_matter(spark, root, in_order, tmp_path, order):
-    load(spark, root, tmp_path, [GAMES[i]["match_date"] for i in order])
+    seasons = [("League", "2017/2018"), ("League", "2018/2019"), ("Cup", "2018/2019")]
+    config = spark.createDataFrame(seasons, "competition_name string, season_name string")
+    load(spark, root, tmp_path, [GAMES[i]["match_date"] for i in order], config)
     got, want = content(spark, tmp_path), content(spark, in_order)
     for name in TABLES:
         assert got[name] == want[name], name
@@ -89,5 +91,20 @@ def test_day_without_matches_and_configuration(spark, root, tmp_path):
     assert daily.run(spark, root, str(tmp_path), "2018-05-07") == {}
     config = spark.createDataFrame([("Other League", "2017/2018")], "competition_name string, season_name string")
     assert daily.run(spark, root, str(tmp_path), "2018-05-06", config) == {}
-    config = spark.createDataFrame([("League", "2017/2018")], "competition_name string, season_name string")
-    assert daily.run(spark, root, str(tmp_path), "2018-05-06", config)["fact_team_match_stats"] == 2
+
+
+def test_violations_are_found(spark, in_order):
+    tables = {name: read_table(spark, f"{in_order}/{name}") for name in TABLES}
+    stats = tables["fact_team_match_stats"]
+    tables["fact_team_match_stats"] = stats.unionByName(stats.where("is_home").withColumn("result", F.lit("X")))
+    tables["dim_match"] = tables["dim_match"].where("match_natural_id <> '1'")
+    tables["dim_team"] = tables["dim_team"].withColumn("effective_to", F.lit("9999-12-31").cast("date"))
+    bad = {(r.table_name, r.rule): r.violations for r in violations(tables).where("violations > 0").collect()}
+    assert bad["fact_team_match_stats", "known_result"] == 4 and bad["fact_team_match_stats", "unique"] == 4
+    assert bad["fact_team_match_stats", "reference match_sk"] == 3 and bad["dim_team", "intervals"] == 2
+
+
+def test_marts(spark, in_order):
+    rows = build_marts(daily.Warehouse(spark, str(in_order)))
+    assert rows["strategy_team_form"] == 8 and rows["strategy_head_to_head"] == 4
+    assert all(n > 0 for n in rows.values())
