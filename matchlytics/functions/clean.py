@@ -49,18 +49,15 @@ def clock_seconds(c: Column | str, max_seconds: int = 18000) -> Column:
 
     NULL for anything else and beyond ``max_seconds``.
     """
-    parts = F.split(as_col(c), ":")
+    c = as_col(c)
+    # Two parts lack the hour.
+    parts = F.split(F.when(c.like("%:%:%"), c).otherwise(F.concat(F.lit("0:"), c)), ":")
 
     def part(i: int, type: str) -> Column:
         return F.get(parts, F.lit(i)).try_cast(type)
 
-    def total(hours: Column | None, at: int) -> Column:
-        minutes = part(at, "int") * 60
-        whole = minutes if hours is None else hours * 3600 + minutes
-        return (whole + part(at + 1, "decimal(10,3)")).try_cast("decimal(10,3)")
-
-    seconds = F.when(F.size(parts) == 3, total(part(0, "int"), 1)).when(F.size(parts) == 2, total(None, 0))
-    return F.when(seconds <= max_seconds, seconds)
+    seconds = (part(0, "int") * 3600 + part(1, "int") * 60 + part(2, "decimal(10,3)")).try_cast("decimal(10,3)")
+    return F.when((F.size(parts) == 3) & (seconds <= max_seconds), seconds)
 
 
 def date_key(c: Column | str) -> Column:

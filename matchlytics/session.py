@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM never compiles a method of more bytecodes than this; wide projections run in smaller pieces instead.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Recording the call site of every column doubles the time to build a plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
