@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.decontaminate import decontaminate
+from matchlytics.llm.quality_rules import quality_rules
 from matchlytics.llm.sentencepiece import decode, encode
+from matchlytics.llm.simhash import classes_of, fingerprints
+from matchlytics.llm.common import stored
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -46,6 +49,12 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    own = stored(fingerprints(table(spark, folder, "documents")))
+    return own.join(classes_of(own, "doc_id"), "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query("""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -81,3 +90,44 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         digest(F.concat_ws(",", "items")).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query("""
+WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS t, text FROM documents),
+w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),
+g AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS s FROM w WHERE len(w) >= 5)),
+r AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(s, s + 5)) AS p FROM (SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, g) AS n FROM g) WHERE n > 1)
+  GROUP BY doc_id),
+l AS (SELECT doc_id, host, text, line FROM (SELECT doc_id, host, text, unnest(string_split(t, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id),
+k AS (
+  SELECT doc_id, host, text, trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D0-9]+', ' ', 'g')) AS key, length(line) AS chars FROM l),
+c AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+a AS (
+  SELECT host, key, first FROM (
+    SELECT host, key, count(DISTINCT doc_id) AS found, count(DISTINCT text) AS texts, min(doc_id) AS first FROM k GROUP BY host, key)
+  JOIN c USING (host) WHERE found > 20 AND found > docs * 0.03 AND texts > 1),
+x AS (
+  SELECT doc_id, count(*) AS n, sum(chars) AS chars FROM k JOIN a USING (host, key) WHERE doc_id <> first GROUP BY doc_id),
+s AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(length(array_to_string(w, '')), 0) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    length(t) AS size, coalesce(n, 0) AS n_lines_removed, CAST(coalesce(chars, 0) AS BIGINT) AS chars_removed
+  FROM w LEFT JOIN r USING (doc_id) LEFT JOIN u USING (doc_id) LEFT JOIN x USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT chars_removed > size * 0.7 AS kept,
+  n_lines_removed, chars_removed
+FROM s
+""")
+def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "chars_removed"
+    )
