@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from matchlytics.llm.common import stored
 from matchlytics.llm.decontaminate import decontaminate
 from matchlytics.llm.quality_rules import quality_rules
 from matchlytics.llm.sentencepiece import decode, encode
 from matchlytics.llm.simhash import classes_of, fingerprints
-from matchlytics.llm.common import stored
+from matchlytics.llm.suffix_dedup import remove_repeated_strings
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -49,6 +50,17 @@ def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeated_strings(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"]).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        digest("kept").alias("kept_sha256"),
+    )
+
+
 @query()
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     own = stored(fingerprints(table(spark, folder, "documents")))
