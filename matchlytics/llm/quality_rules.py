@@ -61,59 +61,65 @@ def _line_key(line: Column, host: Column) -> Column:
     return F.xxhash64(host, F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D0-9]+", " ")))
 
 
-def quality_rules(
-    docs: DataFrame,
-    doc_id: str = "doc_id",
-    text: str = "text",
-    host: str = "source",
-    min_docs: int = 20,
-    max_share: float = 0.03,
-    max_removed: float = 0.7,
-) -> DataFrame:
-    """Adds the statistics, ``n_lines_removed``, ``chars_removed``, ``kept`` and ``cleaned``.
+STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
-    A line is above the limit if more than ``min_docs`` documents of its host and more than ``max_share`` of them hold
-    it and these aren't all copies of one text. Such lines are taken out of ``cleaned``, except in the document of the
-    smallest id that has them. A document is rejected if it fails the base rules or if more than ``max_removed`` of its
-    characters stood in such lines.
 
-    Lines are counted in two passes: first all of them by an eight-byte hash, then the few that may be above the limit
-    in full; a frequent line is combined before each shuffle. Rows of one ``doc_id`` are one document for the counts.
-    Null texts are empty (and fail), a null host is a host. Existing columns of the added names are replaced.
+def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7) -> DataFrame:
+    """For each row: ``_id``, ``_copy`` (hash of the text), the statistics, ``n_lines_removed``, ``chars_removed``, ``kept`` and
+    ``_keys`` of the lines to remove. See ``quality_rules``.
+
+    The statistics are written before they are used: a filter pushed into them would work them out again for each word.
     """
-    added = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_lines_removed", "chars_removed", "kept", "cleaned"]
-    docs = docs.drop(*(c for c in added if c not in (doc_id, text, host)))
-    h = F.coalesce(F.col(host).cast("string"), F.lit("\0"))
-    split = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    keys = docs.select(F.explode(F.array_distinct(F.transform(split, lambda x: _line_key(x, h)))).alias("key"))
+    rows = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text"), F.coalesce(F.col(host).cast("string"), F.lit("\0")).alias("_host"))
+    split = F.filter(F.split(F.coalesce("_text", F.lit("")), "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
+    keys = rows.select(F.explode(F.array_distinct(F.transform(split, lambda x: _line_key(x, F.col("_host"))))).alias("key"))
     often = stored(keys.groupBy("key").count().where(F.col("count") > min_docs).select("key"))
 
-    lines = docs.select(
-        F.col(doc_id).alias("id"),
-        F.xxhash64(h).alias("host"),
-        F.xxhash64(text).alias("copy"),
-        F.explode(F.transform(split, lambda x: F.struct(_line_key(x, h).alias("key"), F.length(x).alias("chars")))).alias("line"),
-    ).select("id", "host", "copy", "line.*")
-    held = stored(lines.join(often, "key").groupBy("id", "key").agg(F.max("host").alias("host"), F.max("copy").alias("copy"), F.sum("chars").alias("chars"), F.count("*").alias("n")))
-    hosts = docs.groupBy(F.xxhash64(h).alias("host")).agg(F.count("*").alias("docs"))
-    counted = held.groupBy("key").agg(F.max("host").alias("host"), F.count("*").alias("found"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.min("id").alias("first"))
+    lines = rows.select(
+        "_id",
+        F.xxhash64("_host").alias("host"),
+        F.xxhash64("_text").alias("copy"),
+        F.explode(F.transform(split, lambda x: F.struct(_line_key(x, F.col("_host")).alias("key"), F.length(x).alias("chars")))).alias("line"),
+    ).select("_id", "host", "copy", "line.*")
+    held = stored(lines.join(often, "key").groupBy("_id", "copy", "key").agg(F.max("host").alias("host"), F.sum("chars").alias("chars"), F.count("*").alias("n")))
+    hosts = rows.groupBy(F.xxhash64("_host").alias("host")).agg(F.count("*").alias("docs"))
+    counted = held.groupBy("key").agg(F.max("host").alias("host"), F.count("*").alias("found"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.min("_id").alias("first"))
     above = counted.join(hosts, "host").where((F.col("found") > min_docs) & (F.col("found") > F.col("docs") * max_share) & (F.col("a") != F.col("b"))).select("key", "first")
     removed = (
         held.join(above, "key")
-        .where(~F.col("id").eqNullSafe(F.col("first")))
-        .groupBy(F.col("id").alias("_id"))
+        .where(~F.col("_id").eqNullSafe(F.col("first")))
+        .groupBy(F.col("_id").alias("id"), "copy")
         .agg(F.sum("n").alias("n_lines_removed"), F.sum("chars").alias("chars_removed"), F.collect_set("key").alias("_keys"))
     )
-    df = with_statistics(docs, text)
-    df = df.join(removed, df[doc_id].eqNullSafe(removed["_id"]), "left").drop("_id")
-    t = F.coalesce(text, F.lit(""))
-    depleted = F.coalesce(F.col("chars_removed"), F.lit(0)) > F.length(t) * max_removed
-    rest = F.array_join(F.filter(F.split(t, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_keys", _line_key(x, h)))), "\n")
-    return df.withColumns(
-        {
-            "cleaned": F.when(F.col("_keys").isNull(), F.col(text)).otherwise(rest),
-            "n_lines_removed": F.coalesce("n_lines_removed", F.lit(0)).cast("long"),
-            "kept": ~F.col("base_failed") & ~depleted,
-            "chars_removed": F.coalesce("chars_removed", F.lit(0)).cast("long"),
-        }
-    ).drop("_keys")
+    own = with_statistics(rows, "_text").select("_id", F.xxhash64("_text").alias("_copy"), F.coalesce(F.length("_text"), F.lit(0)).alias("_size"), *STATISTICS)
+    own = stored(own)
+    df = own.join(removed, own["_id"].eqNullSafe(removed["id"]) & (own["_copy"] == removed["copy"]), "left")
+    return df.select(
+        "_id",
+        "_copy",
+        *STATISTICS,
+        F.coalesce("n_lines_removed", F.lit(0)).cast("long").alias("n_lines_removed"),
+        F.coalesce("chars_removed", F.lit(0)).cast("long").alias("chars_removed"),
+        (~F.col("base_failed") & (F.coalesce("chars_removed", F.lit(0)) <= F.col("_size") * max_removed)).alias("kept"),
+        "_keys",
+    )
+
+
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7) -> DataFrame:
+    """Adds the statistics, ``n_lines_removed``, ``chars_removed``, ``kept`` and ``cleaned``.
+
+    A line is above the limit if more than ``min_docs`` documents of its host and more than ``max_share`` of them hold
+    it and these aren't all copies of one text. Such lines are taken out of ``cleaned``, except in the document of the
+    smallest id that has them. A document is rejected if it fails the base rules or if more than ``max_removed`` of its
+    characters stood in such lines.
+
+    Lines are counted in two passes: first all of them by an eight-byte hash, then the few that may be above the limit
+    in full; a frequent line is combined before each shuffle. Rows of one id and text count as one document. Null texts
+    are empty (and fail), a null host is a host. Existing columns of the added names are replaced.
+    """
+    docs = docs.drop(*(c for c in [*STATISTICS, "n_lines_removed", "chars_removed", "kept", "cleaned"] if c not in (doc_id, text, host)))
+    found = verdicts(docs, doc_id, text, host, min_docs, max_share, max_removed).dropDuplicates(["_id", "_copy"])
+    df = docs.join(found, docs[doc_id].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text]) == found["_copy"]))
+    h = F.coalesce(F.col(host).cast("string"), F.lit("\0"))
+    rest = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_keys", _line_key(x, h)))), "\n")
+    return df.withColumn("cleaned", F.when(F.col("_keys").isNull(), F.col(text)).otherwise(rest)).drop("_id", "_copy", "_keys")

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.common import stored
 from matchlytics.llm.decontaminate import decontaminate
-from matchlytics.llm.quality_rules import quality_rules
+from matchlytics.llm.quality_rules import STATISTICS, verdicts
 from matchlytics.llm.sentencepiece import decode, encode
 from matchlytics.llm.simhash import classes_of, fingerprints
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
@@ -140,6 +140,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM s
 """)
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality_rules(table(spark, folder, "documents")).select(
-        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines_removed", "chars_removed"
-    )
+    return verdicts(table(spark, folder, "documents")).select(F.col("_id").alias("doc_id"), *STATISTICS, "kept", "n_lines_removed", "chars_removed")
