@@ -84,7 +84,7 @@ def blocks(batch: pa.RecordBatch, column: str, size: int = BLOCK) -> Iterator[pa
 
 def lengths(texts: pa.Array) -> np.ndarray:
     """Bytes of each text, or of each list of numbers; null: 0."""
-    found = pc.multiply(pc.list_value_length(texts), 4) if pa.types.is_list(texts.type) else pc.binary_length(texts)
+    found = pc.multiply(pc.list_value_length(texts), 8) if pa.types.is_list(texts.type) else pc.binary_length(texts)
     return pc.fill_null(found, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 

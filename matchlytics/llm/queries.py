@@ -7,15 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from matchlytics.llm.common import stored
+from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
+from matchlytics.llm.quality_classifier import quality_scores
 from matchlytics.llm.quality_rules import STATISTICS, verdicts
 from matchlytics.llm.sentencepiece import decode, encode
 from matchlytics.llm.simhash import classes_of, fingerprints
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
+from matchlytics.llm.url_filter import filter_urls
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+#: Verdict, host and path of each rule (fixed values).
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -141,3 +146,16 @@ FROM s
 """)
 def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return verdicts(table(spark, folder, "documents")).select(F.col("_id").alias("doc_id"), *STATISTICS, "kept", "n_lines_removed", "chars_removed")
+
+
+@query()
+def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").where(crc_mod("doc_id", 3) != 1)
+    return quality_scores(table(spark, folder, "documents"), labels).select(
+        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+@query()
+def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
