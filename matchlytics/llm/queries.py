@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
+from matchlytics.llm.phrases import remove_later_passages
 from matchlytics.llm.quality_classifier import quality_scores
 from matchlytics.llm.quality_rules import STATISTICS, verdicts
 from matchlytics.llm.sentencepiece import decode, encode
@@ -109,6 +110,25 @@ def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, s, md5(array_to_string(w[s:s + 19], ' ')) AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM d WHERE len(w) >= 20)),
+m AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY g ORDER BY doc_id, s) AS k FROM g) WHERE k > 1),
+r AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS p FROM m),
+n AS (SELECT doc_id, count(*) AS n_removed, list(p) AS gone FROM r GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+  sha256(coalesce(array_to_string(
+    CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id)
+""")
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_later_passages(table(spark, folder, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_words", F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"]).alias("n_removed"), digest("kept").alias("kept_sha256")
+    )
+
+
 @query("""
 WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS t, text FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS w FROM d),

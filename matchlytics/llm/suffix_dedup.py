@@ -25,13 +25,18 @@ SEGMENT = "anchor long, content long, count int, copies long, data binary"
 FOUND = "anchor long, content long, count int, ranges array<struct<a:int,b:int>>"
 
 
-def _tag(text: bytes) -> int:
+def text_tag(text: bytes) -> int:
     """Tells rows of one id with different texts apart."""
     return xxhash.xxh32_intdigest(text) >> 1
 
 
-def _runs(docs: DataFrame, length: int) -> DataFrame:
-    """(anchor, content, count, id, tag, first): runs of strings of all texts."""
+def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each unit of the texts laid end to end, and where each text begins and the last ends."""
+    return byte_values()[np.frombuffer(b"".join(texts), np.uint8)], np.append(0, np.cumsum([len(t) for t in texts]))
+
+
+def anchored_runs(docs: DataFrame, length: int, gram: int = GRAM, units=byte_units) -> DataFrame:
+    """(anchor, content, count, id, tag, first): runs of windows of ``length`` units of all texts of (id, text)."""
     schema = T.StructType(
         [T.StructField(n, T.LongType()) for n in ("anchor", "content")] + [T.StructField("count", T.IntegerType()), docs.schema["id"]] + [T.StructField(n, T.IntegerType()) for n in ("tag", "first")]
     )
@@ -39,9 +44,8 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             texts = utf8(batch.column(1))
-            bounds = np.append(0, np.cumsum([len(t) for t in texts]))
-            runs = anchor_runs(byte_values()[np.frombuffer(b"".join(texts), np.uint8)], bounds, length, GRAM)
-            tags = np.array([_tag(t) for t in texts], np.int32)
+            runs = anchor_runs(*units(texts), length, gram)
+            tags = np.array([text_tag(t) for t in texts], np.int32)
             return {
                 "anchor": pa.array(runs["anchor"]),
                 "content": pa.array(runs["content"]),
@@ -56,8 +60,19 @@ def _runs(docs: DataFrame, length: int) -> DataFrame:
     return map_blocks(docs, make, schema, "text", BLOCK)
 
 
-def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of the wanted runs (anchor, content, count, copies, id, tag, first)."""
+def _same(text: bytes) -> bytes:
+    return text
+
+
+def _slice(text: bytes, a: int, b: int) -> bytes:
+    return text[a:b]
+
+
+def segments_of(docs: DataFrame, wanted: DataFrame, length: int, prepare=_same, take=_slice) -> DataFrame:
+    """The bytes of the wanted runs (anchor, content, count, copies, id, tag, first).
+
+    ``take`` gets what ``prepare`` made of a text, and the first unit and the one after the last.
+    """
     by_text = wanted.groupBy("id", "tag").agg(F.collect_list(F.struct("anchor", "content", "count", "copies", "first")).alias("runs"))
     own = docs.alias("d").join(by_text.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))).select("w.tag", "d.text", "w.runs")
     schema = T._parse_datatype_string(SEGMENT)
@@ -66,11 +81,12 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {f.name: [] for f in schema}
             for tag, text, runs in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
-                if tag == _tag(text):
+                if tag == text_tag(text):
+                    prepared = prepare(text)
                     for run in runs:
                         for name in ("anchor", "content", "count", "copies"):
                             out[name].append(run[name])
-                        out["data"].append(text[run["first"] : run["first"] + run["count"] + length - 1])
+                        out["data"].append(take(prepared, run["first"], run["first"] + run["count"] + length - 1))
             return out
 
         return step
@@ -78,7 +94,7 @@ def _segments(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return map_blocks(own, make, schema, "text", BLOCK)
 
 
-def _ranges(flags: list[np.ndarray]) -> pa.Array:
+def ranges_of(flags: list[np.ndarray]) -> pa.Array:
     """Runs of true flags as [a, b), a list for each array."""
     lists = [np.flatnonzero(np.diff(np.concatenate([[0], f.astype(np.int8), [0]]))).reshape(-1, 2) for f in flags]
     pairs = np.concatenate(lists) if lists else np.zeros((0, 2), int)
@@ -105,7 +121,7 @@ def _sort_segments(length: int):
             flags[k] = found
         kept = [(r, f) for r, f in zip(rows, flags) if f.any()]
         columns = [pa.array([r[n] for r, _ in kept], t) for n, t in (("anchor", pa.int64()), ("content", pa.int64()), ("count", pa.int32()))]
-        return pa.RecordBatch.from_arrays([*columns, _ranges([f for _, f in kept])], names=["anchor", "content", "count", "ranges"])
+        return pa.RecordBatch.from_arrays([*columns, ranges_of([f for _, f in kept])], names=["anchor", "content", "count", "ranges"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None
@@ -150,13 +166,13 @@ def _count_strings(crowded: DataFrame, length: int) -> DataFrame:
 def repeated_strings(docs: DataFrame, length: int, crowd: int = 4096) -> DataFrame:
     """(id, tag, ranges): starts of the strings of ``length`` bytes that start twice or more, for docs of (id, text)."""
     on_workers(docs.sparkSession)
-    runs = _runs(docs, length)
+    runs = anchored_runs(docs, length)
     twice = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     runs = stored(runs.join(twice, "anchor"))
     # Equal segments (of copies) are one from here on.
     one = runs.groupBy("anchor", "content", "count").agg(F.count("*").alias("copies"), F.min(F.struct("id", "tag", "first")).alias("at"))
     wanted = one.select("anchor", "content", "count", "copies", "at.*")
-    segments = stored(_segments(docs, wanted, length))
+    segments = stored(segments_of(docs, wanted, length))
     many = stored(segments.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("anchor"))
     usual = segments
     if not many.isEmpty():
@@ -224,7 +240,7 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
             raw = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {"n_bytes": [], "spans": [], "kept": [], "cleaned": []}
             for data, null, found in zip(utf8(raw), raw.is_null().to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                tag = _tag(data) if found else 0
+                tag = text_tag(data) if found else 0
                 spans = merged([r for f in found or [] if f["tag"] == tag for r in f["ranges"]], length)
                 out["n_bytes"].append(len(data))
                 out["spans"].append([{"a": a, "b": b} for a, b in spans])
