@@ -15,6 +15,7 @@ from matchlytics.llm.quality_rules import STATISTICS, verdicts
 from matchlytics.llm.sentencepiece import decode, encode
 from matchlytics.llm.simhash import classes_of, fingerprints
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
+from matchlytics.llm.toxicity import toxicity_scores
 from matchlytics.llm.url_filter import filter_urls
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -176,6 +177,14 @@ def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    labels = table(spark, folder, "labels").where(crc_mod("doc_id", 4) != 2)
+    return toxicity_scores(table(spark, folder, "documents"), labels).select(
+        "doc_id", (crc_mod("doc_id", 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query()
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
