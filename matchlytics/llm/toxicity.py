@@ -58,17 +58,17 @@ def _terms(docs: DataFrame, text: str, wanted: set[str] | None) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def lexicon(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, candidates: int = 20_000, size: int = 4_000, least: int = 3, ratio: float = 10.0) -> dict[str, int]:
+def lexicon(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, candidates: int = 20_000, size: int = 4_000, least: int = 5, ratio: float = 10.0) -> dict[str, int]:
     """Entry to voter, from the sample of labels, which must be small enough to be broadcast.
 
-    Entries are taken if ``least`` toxic documents and one in a thousand have them, and the share of those is ``ratio``
+    Entries are taken if ``least`` toxic documents and one in a hundred have them, and the share of those is ``ratio``
     times that of the others; of more than ``size``, those in the most toxic documents.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_y"))), "_id")
     n = {r["_y"]: r["n"] for r in labels.groupBy(F.col(label).alias("_y")).agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return {}
-    enough = max(least, n[1] // 1000)
+    enough = max(least, n[1] // 100)
     often = _terms(rows.where("_y = 1"), text, None).where(F.col("n") >= enough).orderBy(F.desc("n"), "term").limit(candidates).collect()
     toxic = {r["term"]: r["n"] for r in often}
     if not toxic:
