@@ -136,7 +136,8 @@ def later_occurrences(docs: DataFrame, length: int, crowd: int = 4096) -> DataFr
     on_workers(docs.sparkSession)
     keys = ["anchor", "content", "count"]
     runs = anchored_runs(docs, length, GRAM, word_units)
-    twice = runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Written, so that both sides of the join come straight from a shuffle and a frequent anchor's part can be split.
+    twice = stored(runs.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor"))
     runs = stored(runs.join(twice, "anchor"))
     # Equal stretches are one from here on: the earliest stands for them, and all its windows are earlier than the others'.
     one = stored(runs.groupBy(keys).agg(F.count("*").alias("copies"), F.min(F.struct("id", "first", "tag")).alias("at")).select(*keys, "copies", "at.*"))
