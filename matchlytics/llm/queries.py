@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
+from matchlytics.llm.lm import score_documents
 from matchlytics.llm.phrases import remove_later_passages
 from matchlytics.llm.quality_classifier import quality_scores
 from matchlytics.llm.quality_rules import STATISTICS, verdicts
@@ -169,6 +170,12 @@ def op7_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return verdicts(table(spark, folder, "documents")).select(F.col("_id").alias("doc_id"), *STATISTICS, "kept", "n_lines_removed", "chars_removed")
 
 
+@query()
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    scores = score_documents(table(spark, folder, "documents"), crc_mod("doc_id", 10) != 0)
+    return scores.select("doc_id", (crc_mod("doc_id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query()
 def op8_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     labels = table(spark, folder, "labels").where(crc_mod("doc_id", 3) != 1)
