@@ -124,7 +124,7 @@ def _crowded(segments: DataFrame, length: int) -> DataFrame:
                 )
 
     kinds = T.StructType([segments.schema[c] for c in ("anchor", "content", "count", "id", "first")])
-    kinds = kinds.add("a", "int").add("x", "long").add("y", "long")
+    kinds = kinds.add("a", T.IntegerType()).add("x", T.LongType()).add("y", T.LongType())
     windows = stored(segments.select("anchor", "content", "count", "data", "id", "first").mapInArrow(hashes, kinds)).withColumn("at", F.struct("id", F.col("first") + F.col("a")))
     least = windows.groupBy("x", "y").agg(F.min("at").alias("least"))
     found = windows.join(least, ["x", "y"]).where(~F.col("at").eqNullSafe(F.col("least"))).groupBy("anchor", "content", "count")
