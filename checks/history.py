@@ -29,7 +29,7 @@ VERSIONS_SQL = """
                  coalesce(lead(day) OVER (PARTITION BY o_custkey ORDER BY day) - 1, DATE '9999-12-31') AS effective_to
           FROM c WHERE n = 1 OR o_orderpriority IS DISTINCT FROM before)"""
 VERSION_COLUMNS_SQL = """
-    SELECT md5(concat_ws('~', o_custkey, strftime(effective_from, '%Y-%m-%d'))) AS version_sk, o_custkey, o_orderpriority,
+    SELECT md5(concat_ws('~', coalesce(length(CAST(o_custkey AS VARCHAR)) || ':' || CAST(o_custkey AS VARCHAR), '-'), coalesce(length(CAST(strftime(effective_from, '%Y-%m-%d') AS VARCHAR)) || ':' || CAST(strftime(effective_from, '%Y-%m-%d') AS VARCHAR), '-'))) AS version_sk, o_custkey, o_orderpriority,
            o_orderstatus, strftime(effective_from, '%Y-%m-%d') AS effective_from,
            strftime(effective_to, '%Y-%m-%d') AS effective_to, effective_to = DATE '9999-12-31' AS is_current FROM v"""
 
@@ -113,7 +113,7 @@ def q35_fallback_lookup(t):
 
 
 @query("""
-    WITH u AS (SELECT o_orderstatus, o_totalprice AS price FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' AND o_orderstatus <> 'F'
+    WITH u AS (SELECT o_orderstatus, o_totalprice AS price FROM orders WHERE o_orderstatus <> 'F'
                UNION ALL SELECT o_orderstatus, o_totalprice + 1 FROM orders WHERE o_orderstatus = 'F')
     SELECT o_orderstatus, count(*) AS orders, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM u GROUP BY o_orderstatus""")
@@ -121,7 +121,8 @@ def q39_upsert(t):
     rows = t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate")
     stored = rows.where(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz"))
     changed = rows.where(F.col("o_orderstatus") == "F").withColumn("o_totalprice", F.col("o_totalprice") + 1)
-    return upsert(stored, changed, ["o_orderkey"]).groupBy("o_orderstatus").agg(
+    new = rows.where(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz")).where(F.col("o_orderstatus") != "F")
+    return upsert(stored, changed.unionByName(new), ["o_orderkey"]).groupBy("o_orderstatus").agg(
         F.count("*").alias("orders"), total("o_totalprice").alias("total")
     )
 

@@ -159,9 +159,9 @@ BASE_SQL = """
     obs AS (SELECT 1 AS team, day, 'M' || strftime(date_trunc('week', day), '%Y-%m-%d') AS manager FROM days
             UNION ALL SELECT 2, day, 'B' FROM days),
     tv AS (SELECT team, manager, min(day) AS f FROM obs GROUP BY ALL),
-    teams AS (SELECT *, md5(concat_ws('~', team, f)) AS team_sk, coalesce(lead(f) OVER (PARTITION BY team ORDER BY f) - 1, DATE '9999-12-31') AS u FROM tv),
-    players AS (SELECT player, team, min(day) AS f, md5(concat_ws('~', player, min(day))) AS player_sk FROM e GROUP BY player, team),
-    games AS (SELECT d.*, md5(CAST(date_id AS VARCHAR)) AS match_sk, h.team_sk AS home_sk, a.team_sk AS away_sk FROM days d
+    teams AS (SELECT *, md5(concat_ws('~', coalesce(length(CAST(team AS VARCHAR)) || ':' || CAST(team AS VARCHAR), '-'), coalesce(length(CAST(f AS VARCHAR)) || ':' || CAST(f AS VARCHAR), '-'))) AS team_sk, coalesce(lead(f) OVER (PARTITION BY team ORDER BY f) - 1, DATE '9999-12-31') AS u FROM tv),
+    players AS (SELECT player, team, min(day) AS f, md5(concat_ws('~', coalesce(length(CAST(player AS VARCHAR)) || ':' || CAST(player AS VARCHAR), '-'), coalesce(length(CAST(min(day) AS VARCHAR)) || ':' || CAST(min(day) AS VARCHAR), '-'))) AS player_sk FROM e GROUP BY player, team),
+    games AS (SELECT d.*, md5(concat_ws('~', coalesce(length(CAST(date_id AS VARCHAR)) || ':' || CAST(date_id AS VARCHAR), '-'))) AS match_sk, h.team_sk AS home_sk, a.team_sk AS away_sk FROM days d
               JOIN teams h ON h.team = 1 AND day BETWEEN h.f AND h.u JOIN teams a ON a.team = 2 AND day BETWEEN a.f AND a.u)"""
 TEAM_STATS_SQL = """
     tm AS (SELECT date_id, team, count(*) FILTER (kind = 'click') AS passes, count(*) FILTER (kind IN ('view', 'error')) AS actions,
@@ -172,9 +172,9 @@ TEAM_STATS_SQL = """
     ts AS (SELECT date_id, g.match_sk, tm.team, CASE WHEN team = 1 THEN home_sk ELSE away_sk END AS team_sk,
                   CASE WHEN team = 1 THEN away_sk ELSE home_sk END AS opponent_team_sk, team = 1 AS is_home,
                   CAST(CAST(ball AS DOUBLE) / CAST(sum(ball) OVER w AS DOUBLE) * 100 AS DECIMAL(5,2)) AS possession_pct,
-                  CAST((sum(passes) OVER w - passes) / nullif(actions, 0) AS DECIMAL(6,2)) AS ppda,
-                  CAST((sum(passes_high) OVER w - passes_high) / nullif(actions_high, 0) AS DECIMAL(6,2)) AS ppda_high,
-                  CAST(xg AS DECIMAL(6,3)) AS total_xg, CAST(sum(xg) OVER w - xg AS DECIMAL(6,3)) AS conceded_xg,
+                  CAST((sum(passes) OVER w - passes) / nullif(actions, 0) AS DECIMAL(18,2)) AS ppda,
+                  CAST((sum(passes_high) OVER w - passes_high) / nullif(actions_high, 0) AS DECIMAL(18,2)) AS ppda_high,
+                  CAST(xg AS DECIMAL(18,3)) AS total_xg, CAST(sum(xg) OVER w - xg AS DECIMAL(18,3)) AS conceded_xg,
                   CAST(CASE WHEN team = 1 THEN home_score ELSE away_score END AS INTEGER) AS goals_scored,
                   CAST(CASE WHEN team = 1 THEN away_score ELSE home_score END AS INTEGER) AS goals_conceded
            FROM tm JOIN games g USING (date_id) WINDOW w AS (PARTITION BY date_id)),
@@ -199,7 +199,7 @@ PLAYER_STATS_SQL = """
                   CAST(0 AS INTEGER) AS interceptions, CAST(touches_in_box AS INTEGER) AS touches_in_box,
                   CAST(tackles_total AS INTEGER) AS tackles_total, CAST(tackles_won AS INTEGER) AS tackles_won, CAST(1 AS INTEGER) AS starts,
                   CAST(yellow_cards AS INTEGER) AS yellow_cards, CAST(red_cards AS INTEGER) AS red_cards,
-                  CAST(xg AS DECIMAL(6,3)) AS xg_total, CAST(coalesce(xa, 0) AS DECIMAL(6,3)) AS xa_total
+                  CAST(xg AS DECIMAL(18,3)) AS xg_total, CAST(coalesce(xa, 0) AS DECIMAL(18,3)) AS xa_total
            FROM pm JOIN ends USING (date_id) JOIN games g USING (date_id) JOIN players p USING (player)
                 JOIN teams t ON t.team = pm.team AND g.day BETWEEN t.f AND t.u LEFT JOIN xa USING (date_id, player)
            WHERE listed > 0)"""
@@ -267,8 +267,8 @@ def _zone_sql(x, y):
                            WHEN 'view' THEN CASE WHEN v > 50 THEN 'Won' ELSE 'Lost' END END AS outcome,
                  hour(ts) * 3600 + minute(ts) * 60 + CAST(millisecond(ts) AS DECIMAL(18,3)) / 1000 AS s
           FROM e)
-    SELECT f.date_id, g.match_sk, t.team_sk, md5(concat_ws('~', type, coalesce(outcome, ''))) AS event_type_sk,
-           md5(CAST(k // 25 AS VARCHAR)) AS play_pattern_sk, CAST({_zone_sql('x', 'y')} AS INTEGER) AS location_id,
+    SELECT f.date_id, g.match_sk, t.team_sk, md5(concat_ws('~', coalesce(length(CAST(type AS VARCHAR)) || ':' || CAST(type AS VARCHAR), '-'), coalesce(length(CAST(outcome AS VARCHAR)) || ':' || CAST(outcome AS VARCHAR), '-'))) AS event_type_sk,
+           md5(concat_ws('~', coalesce(length(CAST(k // 25 AS VARCHAR)) || ':' || CAST(k // 25 AS VARCHAR), '-'))) AS play_pattern_sk, CAST({_zone_sql('x', 'y')} AS INTEGER) AS location_id,
            CAST({_zone_sql('ex', 'ey')} AS INTEGER) AS end_location_id, count(*) AS events, count(DISTINCT p.player_sk) AS players,
            CAST(sum(CAST(x AS DECIMAL(5,2))) AS DOUBLE) AS x, CAST(sum(CAST(ey AS DECIMAL(5,2))) AS DOUBLE) AS end_y,
            round(CAST(sum(CAST(s AS DECIMAL(10,3))) FILTER (s <= 18000) AS DOUBLE), 3) AS seconds,
@@ -330,7 +330,7 @@ def q66_season_stats(t):
     SELECT CAST(date_id AS VARCHAR) AS match_natural_id, CAST(team AS VARCHAR) AS team_natural_id, CAST(period AS BIGINT) AS period,
            CAST(0 AS BIGINT) AS pressures, CAST(0 AS BIGINT) AS recoveries,
            round(CAST(ball AS DOUBLE) / CAST(sum(ball) OVER w AS DOUBLE) * 100, 4) AS possession_pct,
-           CAST(CAST(xg AS DECIMAL(6,3)) AS DOUBLE) AS xg_for, CAST(CAST(sum(xg) OVER w - xg AS DECIMAL(6,3)) AS DOUBLE) AS xg_against
+           CAST(CAST(xg AS DECIMAL(18,3)) AS DOUBLE) AS xg_for, CAST(CAST(sum(xg) OVER w - xg AS DECIMAL(18,3)) AS DOUBLE) AS xg_against
     FROM p WINDOW w AS (PARTITION BY date_id, period)""")
 def q67_match_phases(t):
     phases = doubles(R.match_phases(events(t)), "xg_for", "xg_against")

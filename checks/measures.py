@@ -179,7 +179,7 @@ def q21b_pressing_in_zone(t):
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
     k AS (SELECT DISTINCT l_returnflag, l_linestatus FROM lineitem)
     SELECT CAST(strftime(f.o_orderdate, '%Y%m') AS INTEGER) AS month_id, CAST({ZONE_SQL} AS INTEGER) AS location_id,
-           md5(concat_ws('~', k.l_returnflag, k.l_linestatus)) AS type_sk, v.o_orderpriority AS priority,
+           md5(concat_ws('~', coalesce(length(CAST(k.l_returnflag AS VARCHAR)) || ':' || CAST(k.l_returnflag AS VARCHAR), '-'), coalesce(length(CAST(k.l_linestatus AS VARCHAR)) || ':' || CAST(k.l_linestatus AS VARCHAR), '-'))) AS type_sk, v.o_orderpriority AS priority,
            count(*) AS events, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS price
     FROM f LEFT JOIN v ON f.o_custkey = v.o_custkey AND CAST(f.o_orderdate AS DATE) BETWEEN v.effective_from AND v.effective_to
            LEFT JOIN k ON f.l_returnflag = k.l_returnflag AND f.l_linestatus IS NOT DISTINCT FROM k.l_linestatus

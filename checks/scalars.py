@@ -161,7 +161,7 @@ def q05_pitch_zones(t):
 
 @query("""
     WITH e AS (SELECT event_type, CASE WHEN value >= 100 THEN 'High' WHEN value < 1 THEN 'Low' END AS outcome FROM events)
-    SELECT DISTINCT md5(concat_ws('~', event_type, coalesce(outcome, ''))) AS event_type_sk,
+    SELECT DISTINCT md5(concat_ws('~', coalesce(length(CAST(event_type AS VARCHAR)) || ':' || CAST(event_type AS VARCHAR), '-'), coalesce(length(CAST(outcome AS VARCHAR)) || ':' || CAST(outcome AS VARCHAR), '-'))) AS event_type_sk,
            CASE WHEN event_type IN ('click', 'view') THEN 'Browse' WHEN event_type IN ('purchase', 'signup') THEN 'Deal'
                 ELSE 'Other' END AS event_category,
            event_type, outcome
@@ -199,7 +199,7 @@ def q08_inner_lookup(t):
 
 @query("""
     WITH f AS (SELECT nullif(l_returnflag, 'N') AS flag, l_linestatus AS status FROM lineitem),
-         d AS (SELECT DISTINCT flag, status, md5(concat_ws('~', coalesce(flag, ''), status)) AS pair_sk FROM f)
+         d AS (SELECT DISTINCT flag, status, md5(concat_ws('~', coalesce(length(CAST(flag AS VARCHAR)) || ':' || CAST(flag AS VARCHAR), '-'), coalesce(length(CAST(status AS VARCHAR)) || ':' || CAST(status AS VARCHAR), '-'))) AS pair_sk FROM f)
     SELECT d.pair_sk, f.flag, f.status, count(*) AS rows
     FROM f LEFT JOIN d ON f.flag IS NOT DISTINCT FROM d.flag AND f.status = d.status
     GROUP BY ALL""")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from matchlytics.functions.clean import to_decimal
 from matchlytics.functions.nested import as_col
 
 
@@ -27,8 +26,11 @@ def match_result(scored: Column | str, conceded: Column | str) -> Column:
     return F.when(scored > conceded, "W").when(scored < conceded, "L").otherwise("D")
 
 
-def safe_sum(c: Column | str, type: str = "decimal(18,6)", limit: float | None = None) -> Column:
-    """Sum in exact decimals; NULL counts as 0, as does a value beyond ``limit`` in size."""
+def safe_sum(c: Column | str, type: str = "decimal(28,6)", limit: float | None = None) -> Column:
+    """Sum in exact decimals; NULL counts as 0, as does a value beyond ``limit`` in size.
+
+    Without a limit every value counts: one that does not fit ``type`` fails the job rather than being left out.
+    """
     c = as_col(c)
     value = c if limit is None else F.when(F.abs(c) <= limit, c)
-    return F.sum(F.coalesce(to_decimal(value, type), F.lit(0).cast(type)))
+    return F.sum(F.coalesce(value.cast(type), F.lit(0).cast(type)))

@@ -56,8 +56,12 @@ def first_point(*arrays: Column | str) -> tuple[Column, Column]:
 
 
 def hash_key(*cols: Column | str) -> Column:
-    """Surrogate key that every run and every partition computes alike."""
-    parts = [F.coalesce(as_col(c).cast("string"), F.lit("")) for c in cols]
+    """Surrogate key that every run and every partition computes alike.
+
+    Each part is written with its length, and NULL as a mark, so that no two rows of parts are written alike.
+    """
+    texts = [as_col(c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.md5(F.concat_ws("~", *parts))
 
 

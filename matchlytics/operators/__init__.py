@@ -20,7 +20,6 @@ from matchlytics.operators.history import (
 )
 from matchlytics.operators.load import not_loaded, only_configured, only_date, upsert
 from matchlytics.operators.lookup import (
-    broadcast_if_small,
     fallback_lookup,
     join_loss,
     null_safe_lookup,
@@ -40,7 +39,6 @@ from matchlytics.operators.quality import check_fk, check_rules, check_unique, n
 from matchlytics.operators.shape import flatten, role_rows, standardise, typed
 
 __all__ = [
-    "broadcast_if_small",
     "changed_starts",
     "check_fk",
     "check_intervals",

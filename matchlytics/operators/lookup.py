@@ -9,21 +9,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from matchlytics.functions.nested import as_col
 
-BROADCAST_ROWS = 100_000
-BROADCAST_BYTES = 32 * 2**20
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast if a job finds at most ``max_rows`` rows that take at most ``max_bytes`` as text.
-
-    For narrow derived tables, whose size Spark can only guess from their much larger input. A bigger table comes
-    back without the hint and is joined by shuffle.
-    """
-    row = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    rows, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(row), F.lit(0))).first()
-    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
-
-
 def _pairs(keys: Sequence[str] | Mapping[str, str]) -> list[tuple[str, str]]:
     return list(keys.items()) if isinstance(keys, Mapping) else [(k, k) for k in keys]
 
@@ -94,16 +79,19 @@ def null_safe_lookup(
     keys: Sequence[str] | Mapping[str, str],
     take: Sequence[str] | Mapping[str, str],
     prefix: str = "",
-    max_broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Left join in which NULL equals NULL, against a dimension that is broadcast while small."""
+    """Left join in which NULL equals NULL.
+
+    Nothing runs while the plan is built: Spark broadcasts the dimension if it measures it as small when the query runs, and
+    otherwise splits the parts of frequent keys.
+    """
     pairs, taken = _pairs(keys), _taken(take, prefix)
     rows = dim.select(
         *[F.col(d).alias(f"__k{i}") for i, (_, d) in enumerate(pairs)],
         *[F.col(d).alias(f"__take_{out}") for out, d in taken.items()],
     )
     on = [F.col(f).eqNullSafe(F.col(f"__k{i}")) for i, (f, _) in enumerate(pairs)]
-    return facts.join(broadcast_if_small(rows, max_broadcast_rows), _all(on), "left").select(
+    return facts.join(rows, _all(on), "left").select(
         *[F.col(f"`{c}`") for c in facts.columns], *[F.col(f"__take_{out}").alias(out) for out in taken]
     )
 

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matchlytics.functions.clean import to_decimal
 from matchlytics.functions.nested import as_col, field
-from matchlytics.operators.lookup import broadcast_if_small
 
 
 def flatten(df: DataFrame, fields: Mapping[str, Column | str | tuple]) -> DataFrame:
@@ -53,7 +52,7 @@ def standardise(df: DataFrame, column: str, mapping: DataFrame, default: str | N
     names = mapping.groupBy(F.col("synonym").alias("__synonym")).agg(F.min("canonical").alias("__canonical"))
     value = F.coalesce("__canonical", column, *([F.lit(default)] if default is not None else []))
     return (
-        df.join(broadcast_if_small(names), F.col(column) == F.col("__synonym"), "left")
+        df.join(names, F.col(column) == F.col("__synonym"), "left")
         .withColumn(column, value)
         .drop("__synonym", "__canonical")
     )

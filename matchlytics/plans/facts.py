@@ -59,11 +59,32 @@ DECIMALS = {
     "pass_angle": "decimal(6,4)",
     "shot_xg": "decimal(6,4)",
 }
-FACT_EVENT = (
-    "event_id date_id match_sk team_sk player_sk event_type_sk play_pattern_sk location_id end_location_id "
-    "location_x location_y end_location_x end_location_y period minute second event_relative_time duration "
-    "under_pressure pass_length pass_angle shot_xg possession_id"
-).split()
+# The columns of the event fact.
+FACT_EVENT = [
+    "event_id",
+    "date_id",
+    "match_sk",
+    "team_sk",
+    "player_sk",
+    "event_type_sk",
+    "play_pattern_sk",
+    "location_id",
+    "end_location_id",
+    "location_x",
+    "location_y",
+    "end_location_x",
+    "end_location_y",
+    "period",
+    "minute",
+    "second",
+    "event_relative_time",
+    "duration",
+    "under_pressure",
+    "pass_length",
+    "pass_angle",
+    "shot_xg",
+    "possession_id",
+]
 
 
 def fact_event(

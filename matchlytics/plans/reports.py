@@ -22,7 +22,7 @@ from matchlytics.operators import (
     running_total,
     top_k,
 )
-from matchlytics.plans.stats import INDEX_BUCKET, XG, _measured, is_a, possession
+from matchlytics.plans.stats import INDEX_BUCKET, TOTAL, XG, _measured, is_a, possession
 
 
 def match_phases(events: DataFrame) -> DataFrame:
@@ -44,8 +44,8 @@ def match_phases(events: DataFrame) -> DataFrame:
         "pressures",
         "recoveries",
         possession("ball_time", "ball_time_match").alias("possession_pct"),
-        F.col("xg_for").cast("decimal(6,3)"),
-        F.col("xg_for_opponent").cast("decimal(6,3)").alias("xg_against"),
+        F.col("xg_for").cast(TOTAL),
+        F.col("xg_for_opponent").cast(TOTAL).alias("xg_against"),
     )
 
 

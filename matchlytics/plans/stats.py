@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from matchlytics.functions import date_key, field, in_rect, match_result, rate, to_decimal
+from matchlytics.functions import date_key, field, in_rect, match_result, rate
 from matchlytics.functions import values as V
 from matchlytics.operators import cond_counts, flatten, next_value, opponent_total, spans_played, temporal_lookup
 
 PLAYER_KEYS = ["match_natural_id", "team_natural_id", "player_natural_id"]
-XG = "decimal(18,10)"
+# Wide enough for any sum of values below 1e18; totals are stored with three decimals.
+XG = "decimal(28,10)"
+TOTAL = "decimal(18,3)"
+RATIO = "decimal(18,2)"
 # Events per window bucket; a match has some 3,500.
 INDEX_BUCKET = 10_000
 
@@ -132,10 +135,21 @@ def starters(events: DataFrame) -> DataFrame:
     )
 
 
-PLAYER_COUNTS = (
-    "minutes_played total_passes accurate_passes total_shots goals assists interceptions touches_in_box "
-    "tackles_total tackles_won starts yellow_cards red_cards"
-).split()
+PLAYER_COUNTS = [
+    "minutes_played",
+    "total_passes",
+    "accurate_passes",
+    "total_shots",
+    "goals",
+    "assists",
+    "interceptions",
+    "touches_in_box",
+    "tackles_total",
+    "tackles_won",
+    "starts",
+    "yellow_cards",
+    "red_cards",
+]
 
 
 def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, player_dim: DataFrame) -> DataFrame:
@@ -160,8 +174,8 @@ def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFr
         "match_sk",
         "team_sk",
         *[F.col(c).cast("int") for c in PLAYER_COUNTS],
-        to_decimal(F.col("xg"), "decimal(6,3)").alias("xg_total"),
-        to_decimal(F.coalesce("xa", F.lit(0)), "decimal(6,3)").alias("xa_total"),
+        F.col("xg").cast(TOTAL).alias("xg_total"),
+        F.coalesce("xa", F.lit(0)).cast(TOTAL).alias("xa_total"),
     ).dropna(subset=["player_sk", "team_sk", "date_id"])
 
 
@@ -207,11 +221,11 @@ def team_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFram
             at_home("away_team_sk", "home_team_sk").alias("opponent_team_sk"),
             "match_sk",
             home.alias("is_home"),
-            to_decimal(possession("ball_time", "ball_time_match"), "decimal(5,2)").alias("possession_pct"),
-            to_decimal(rate("passes_opponent", "defensive_actions"), "decimal(6,2)").alias("ppda"),
-            to_decimal(rate("passes_high_opponent", "defensive_actions_high"), "decimal(6,2)").alias("ppda_high"),
-            to_decimal(F.col("xg"), "decimal(6,3)").alias("total_xg"),
-            to_decimal(F.col("xg_opponent"), "decimal(6,3)").alias("conceded_xg"),
+            possession("ball_time", "ball_time_match").cast("decimal(5,2)").alias("possession_pct"),
+            rate("passes_opponent", "defensive_actions").cast(RATIO).alias("ppda"),
+            rate("passes_high_opponent", "defensive_actions_high").cast(RATIO).alias("ppda_high"),
+            F.col("xg").cast(TOTAL).alias("total_xg"),
+            F.col("xg_opponent").cast(TOTAL).alias("conceded_xg"),
             at_home("home_score", "away_score").alias("goals_scored"),
             at_home("away_score", "home_score").alias("goals_conceded"),
         )
@@ -228,6 +242,6 @@ def season_stats(player_match_stats: DataFrame, match_dim: DataFrame) -> DataFra
         F.count("match_sk").cast("int").alias("matches_played"),
         F.sum("minutes_played").cast("int").alias("minutes"),
         *[F.sum(c).cast("int").alias(c) for c in totals],
-        F.sum("xg_total").cast("decimal(7,3)").alias("xg_season"),
-        F.sum("xa_total").cast("decimal(7,3)").alias("xa_season"),
+        F.sum("xg_total").cast(TOTAL).alias("xg_season"),
+        F.sum("xa_total").cast(TOTAL).alias("xa_season"),
     )

@@ -35,9 +35,12 @@ def read_raw(
     schema = f"{RAW[kind]}, date date"
     df = _scan(spark, f"{base}/date={date}" if date else base, base, schema, multi_line)
     if df is None and date:
-        day = F.col("date") == F.lit(date).cast("date")
-        df = _scan(spark, base, base, schema, multi_line)
-        df = df.where(day) if df is not None else None
+        # No files that day: only whether the kind exists is left to find out, by its folder alone.
+        path = spark._jvm.org.apache.hadoop.fs.Path(base)
+        if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+            df = spark.createDataFrame([], schema)
+            if "match_id" not in df.columns:
+                df = df.select(F.lit(None).cast("bigint").alias("match_id"), "*")
     if df is None:
         raise MissingSource(f"no raw {kind} under {base}")
     if "match_id" in df.columns:

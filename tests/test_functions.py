@@ -113,6 +113,8 @@ def test_keys(spark):
     df = spark.createDataFrame([("a", None, "b"), ("a", "b", None)], "x string, y string, z string")
     first, second = column(df, hash_key("x", "y", "z"))
     assert first != second and len(first) == 32
+    clashing = spark.createDataFrame([("Pass", None), ("Pass", ""), ("Pass~x", "y"), ("Pass", "x~y"), (None, "-")], "x string, y string")
+    assert len(set(column(clashing, hash_key("x", "y")))) == 5
     paths = spark.createDataFrame([("s3a://b/events/date=2018-05-06/9924.json",), ("x/9924.txt",)], "p string")
     assert column(paths, id_from_path("p")) == [9924, None]
 
@@ -142,6 +144,10 @@ def test_safe_sum(spark):
     df = spark.createDataFrame([(1.5,), (None,), (1000.0,), (-1000.0,), (0.25,)], "d double")
     assert df.agg(safe_sum("d", "decimal(18,2)", 999)).first()[0] == Decimal("1.75")
     assert df.agg(safe_sum("d", "decimal(18,2)")).first()[0] == Decimal("1.75")
+    large = spark.createDataFrame([(2e12,), (1.0,)], "d double")
+    assert large.agg(safe_sum("d")).first()[0] == Decimal("2000000000001")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        large.agg(safe_sum("d", "decimal(6,2)")).collect()
 
 
 def test_shape_operators(spark):

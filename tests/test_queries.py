@@ -77,15 +77,19 @@ def test_lookups_without_broadcast_are_merge_joins(spark):
             text = plan(temporal_lookup(orders.select("o_custkey", "o_orderdate"), versions, ["o_custkey"], "o_orderdate", ["o_orderpriority"], "v_", period=period))
             assert "SortMergeJoin" in text and "NestedLoop" not in text
         dim = orders.select("o_orderstatus").distinct().withColumn("sk", F.col("o_orderstatus"))
-        assert "SortMergeJoin" in plan(null_safe_lookup(orders, dim, ["o_orderstatus"], ["sk"], max_broadcast_rows=1))
+        assert "SortMergeJoin" in plan(null_safe_lookup(orders, dim, ["o_orderstatus"], ["sk"]))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_small_derived_dimension_is_broadcast(spark):
-    orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
-    dim = orders.select("o_orderstatus").distinct().withColumn("sk", F.col("o_orderstatus"))
-    assert "BroadcastHashJoin" in plan(null_safe_lookup(orders, dim, ["o_orderstatus"], ["sk"]))
+@pytest.mark.parametrize("name", ["q09_null_safe_lookup", "q22_event_fact", "q54_standard_values", "q63_event_fact", "q64_player_match_stats"])
+def test_no_job_runs_while_a_plan_is_built(spark, name):
+    spark.sparkContext.setJobGroup(f"plan {name}", "none expected")
+    try:
+        queries()[name](spark, FOLDER)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan {name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):
