@@ -180,10 +180,11 @@ TEAM_STATS_SQL = """
            FROM tm JOIN games g USING (date_id) WINDOW w AS (PARTITION BY date_id)),
     tstats AS (SELECT *, CASE WHEN goals_scored > goals_conceded THEN 'W' WHEN goals_scored < goals_conceded THEN 'L' ELSE 'D' END AS result FROM ts)"""
 PLAYER_STATS_SQL = """
-    nx AS (SELECT date_id, player, kind, lead(kind) OVER w AS next_kind, lead(v) OVER w AS next_v FROM e
+    nx AS (SELECT date_id, player, kind, lead(kind) OVER w AS next_kind, lead(v) OVER w AS next_v, team, period, lead(team) OVER w AS next_team,
+                  lead(period) OVER w AS next_period FROM e
            WINDOW w AS (PARTITION BY date_id ORDER BY idx)),
     xa AS (SELECT date_id, player, sum(CAST(next_v * 0.0013579::DOUBLE AS DECIMAL(18,10))) AS xa FROM nx
-           WHERE kind = 'click' AND next_kind = 'purchase' GROUP BY ALL),
+           WHERE kind = 'click' AND next_kind = 'purchase' AND team = next_team AND period = next_period GROUP BY ALL),
     ends AS (SELECT date_id, max(minute) AS end_min FROM e GROUP BY ALL),
     pm AS (SELECT date_id, team, player, count(*) FILTER (kind = 'signup') AS listed, min(minute) FILTER (kind = 'error' AND v > 200) AS off,
                   count(*) FILTER (kind = 'click') AS total_passes, count(*) FILTER (kind = 'click' AND v >= 20) AS accurate_passes,

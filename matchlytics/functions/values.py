@@ -24,6 +24,7 @@ LEGACY_POSITION_GROUPS = POSITION_GROUPS[:3] + (
 
 # Event and card names used by the measures.
 DEFENSIVE_ACTIONS = ("Pressure", "Duel", "Interception", "Block", "Foul Committed")
+WITH_THE_BALL = ("Ball Receipt*", "Carry")
 TACKLE_WON = ("Success In Play", "Won", "Success Out")
 SENT_OFF = ("Red Card", "Second Yellow")
 BOOKED = ("Yellow Card", "Second Yellow")

@@ -49,18 +49,19 @@ def is_a(event_type: str) -> Column:
 def player_moves(events: DataFrame) -> DataFrame:
     """Entries and exits of players, all out of one pass over the events."""
     minute = F.col("minute")
-    nobody = F.array().cast("array<struct<player_id:bigint,entry_min:bigint,exit_min:bigint>>")
+    nobody = F.array().cast("array<struct<player_id:bigint,entry_min:bigint,exit_min:bigint,starts:int>>")
 
-    def move(player: Column, entry: Column | None = None, exit: Column | None = None) -> Column:
+    def move(player: Column, entry: Column | None = None, exit: Column | None = None, starts: int = 0) -> Column:
         none = F.lit(None).cast("bigint")
         return F.struct(
             player.alias("player_id"),
             (none if entry is None else entry).alias("entry_min"),
             (none if exit is None else exit).alias("exit_min"),
+            F.lit(starts).alias("starts"),
         )
 
     kind = F.col("type.name")
-    starters = F.transform("tactics.lineup", lambda p: move(p["player"]["id"], entry=F.lit(0).cast("bigint")))
+    starters = F.transform("tactics.lineup", lambda p: move(p["player"]["id"], entry=F.lit(0).cast("bigint"), starts=1))
     swap = F.array(
         move(F.col("substitution.replacement.id"), entry=minute), move(F.col("player.id"), exit=minute)
     )
@@ -81,23 +82,29 @@ def player_moves(events: DataFrame) -> DataFrame:
 
 
 def minutes_played(events: DataFrame) -> DataFrame:
-    """Minutes of every player who started or came on."""
+    """Minutes of every player who started or came on, and whether they started."""
     match = F.col("match_id").cast("string").alias("match_natural_id")
     ends = events.groupBy(match).agg(F.max("minute").alias("end_min"))
-    return spans_played(player_moves(events), ends, ["match_natural_id"], ["player_natural_id"])
+    return spans_played(player_moves(events), ends, ["match_natural_id"], ["player_natural_id"], {"starts": F.max("starts")})
 
 
 def expected_assists(events: DataFrame) -> DataFrame:
-    """Per player and match, the xG of the shots that came right after a pass of theirs."""
-    rows = _measured(events).select(*PLAYER_KEYS, "index", "type", "xg")
+    """Per player and match, the xG of the shots that came right after a pass of theirs.
+
+    Receiving and carrying the ball lies between a pass and its shot and is passed over; the shot must be of the same team
+    and period.
+    """
+    rows = _measured(events).select(*PLAYER_KEYS, "index", "period", "type", "xg")
+    rows = rows.where(F.col("type").isNull() | ~F.col("type").isin(*V.WITH_THE_BALL))
     following = next_value(
         rows,
         ["match_natural_id"],
         ["index"],
-        {"next_type": "type", "next_xg": "xg"},
+        {"next_type": "type", "next_xg": "xg", "next_team": "team_natural_id", "next_period": "period"},
         bucket=F.floor(F.col("index") / INDEX_BUCKET),
     )
-    assists = following.where(is_a("Pass") & (F.col("next_type") == "Shot") & F.col("player_natural_id").isNotNull())
+    same = (F.col("next_team") == F.col("team_natural_id")) & F.col("next_period").eqNullSafe(F.col("period"))
+    assists = following.where(is_a("Pass") & (F.col("next_type") == "Shot") & same & F.col("player_natural_id").isNotNull())
     return cond_counts(assists, PLAYER_KEYS, sums={"xa": ("next_xg", XG)})
 
 
@@ -125,16 +132,6 @@ def player_measures(events: DataFrame) -> DataFrame:
     )
 
 
-def starters(events: DataFrame) -> DataFrame:
-    return (
-        events.where(F.col("type.name") == "Starting XI")
-        .select(F.col("match_id").cast("string").alias("match_natural_id"), F.explode("tactics.lineup").alias("p"))
-        .select("match_natural_id", F.col("p.player.id").cast("string").alias("player_natural_id"))
-        .distinct()
-        .withColumn("starts", F.lit(1))
-    )
-
-
 PLAYER_COUNTS = [
     "minutes_played",
     "total_passes",
@@ -162,8 +159,6 @@ def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFr
         player_measures(events)
         .join(minutes_played(events), on)
         .join(expected_assists(events), PLAYER_KEYS, "left")
-        .join(starters(events), on, "left")
-        .fillna(0, ["starts"])
         .join(match_dim.select("match_natural_id", "match_sk", "match_date"), "match_natural_id")
     )
     stats = temporal_lookup(stats, team_dim, ["team_natural_id"], "match_date", ["team_sk"])

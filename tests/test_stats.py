@@ -57,7 +57,14 @@ def test_expected_assists(spark):
     s = L.Script(7).passed(1, 11).shot(1, 12, xg=0.25).passed(1, 11).add("Carry", 1, 12).shot(1, 12, xg=0.5)
     s.passed(1, 13).shot(2, 21, xg=0.125).passed(1, 11)
     rows = S.expected_assists(L.events(spark, s.rows)).collect()
-    assert {r.player_natural_id: float(r.xa) for r in rows} == {"11": 0.25, "13": 0.125}
+    assert {r.player_natural_id: float(r.xa) for r in rows} == {"11": 0.75}
+
+
+def test_expected_assists_pass_over_receipts_and_carries_only(spark):
+    s = L.Script(7).passed(1, 11).add("Ball Receipt*", 1, 12).add("Carry", 1, 12).shot(1, 12, xg=0.25)
+    s.passed(1, 13).shot(2, 21, xg=0.125).passed(1, 14).add("Dribble", 1, 14).shot(1, 14, xg=0.5)
+    rows = S.expected_assists(L.events(spark, s.rows)).collect()
+    assert {r.player_natural_id: float(r.xa) for r in rows} == {"11": 0.25}
 
 
 def team(spark, s):
