@@ -8,6 +8,7 @@ word numbers, and streams its stretches through it to find every occurrence.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
@@ -16,20 +17,17 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from matchlytics.llm.common import map_blocks, on_workers, stored, tasks, utf8
-from matchlytics.llm.sentencepiece import Recent
 from matchlytics.llm.suffix_dedup import RANGES, anchored_runs, ranges_of, segments_of, text_tag
 
 GRAM = 5
 #: Bytes of stretches that one automaton is made for.
 SHARD = 1 << 20
 
-_word_values: Recent = Recent(xxhash.xxh64_intdigest, 300_000)
-
 
 def word_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     found = [t.split() for t in texts]
-    values = np.fromiter((_word_values[w] for words in found for w in words), np.uint64, sum(map(len, found)))
-    return values, np.append(0, np.cumsum([len(w) for w in found]))
+    bounds = np.append(0, np.cumsum([len(w) for w in found]))
+    return np.fromiter(map(xxhash.xxh64_intdigest, chain.from_iterable(found)), np.uint64, int(bounds[-1])), bounds
 
 
 def _split(text: bytes) -> list[bytes]:
@@ -150,7 +148,8 @@ def later_occurrences(docs: DataFrame, length: int, crowd: int = 4096) -> DataFr
     if crowded:
         found = found.union(_crowded(segments.join(many, "anchor", "left_semi"), length))
     found = stored(found)
-    firsts = one.join(found, keys, "left").select(*keys, F.struct("id", "first").alias("earliest"), F.coalesce("ranges", F.array().cast("array<struct<a:int,b:int>>")).alias("ranges"))
+    # Written, so that a frequent stretch's part of the next join can be split.
+    firsts = stored(one.join(found, keys, "left").select(*keys, F.struct("id", "first").alias("earliest"), F.coalesce("ranges", F.array().cast("array<struct<a:int,b:int>>")).alias("ranges")))
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("count").alias("b")))
     own = F.when(F.struct("id", "first").eqNullSafe(F.col("earliest")), F.col("ranges")).otherwise(whole)
     placed = runs.join(firsts, keys).select("id", "tag", "first", own.alias("ranges")).where(F.size("ranges") > 0)
