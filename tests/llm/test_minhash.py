@@ -1,0 +1,59 @@
+"""Near copies by shingle similarity: against all pairs, and the rows that stay."""
+
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from matchlytics.llm.minhash import one_of_each
+from tests.llm.conftest import SMALL
+
+
+def plain_set(text: str | None) -> frozenset:
+    w = (text or "").encode().lower().split()
+    return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
+
+
+def plain_kept(rows: list[tuple[int, str | None]]) -> set[int]:
+    """The smallest id of each group, by comparing all pairs."""
+    sets = [(i, plain_set(t)) for i, t in rows]
+    root = {i: i for i, _ in rows}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a == b or len(a & b) >= 0.8 * len(a | b):
+                x, y = find(i), find(j)
+                root[max(x, y)] = min(x, y)
+    return {i for i in root if find(i) == i}
+
+
+def test_near_copies_of_the_small_table(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = corpus_pipeline.near_copies(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(plain_kept([(r.doc_id, r.text) for r in docs.collect()]))
+
+
+def test_copies_with_changed_words_and_chains(spark, docs_of):
+    """Three words of 200 changed leave a similarity of 0.8 or more to the first text; the ends of the chain are unlike."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(20):
+        words = [f"w{rng.randrange(5000)}" for _ in range(200)]
+        rows.append((10 * k, " ".join(words)))
+        for c in range(1, 4):
+            changed = list(words)
+            for at in rng.sample(range(5, 195, 25), 3):
+                changed[at] = f"new{c}"
+            rows.append((10 * k + c, " ".join(changed)))
+    words = [f"c{k}" for k in range(100)]
+    for k in range(8):
+        words[12 * k + 2] = "drift"
+        rows.append((1000 + k, " ".join(words)))
+    got = [r.doc_id for r in one_of_each(docs_of(rows)).collect()]
+    assert sorted(got) == sorted(plain_kept(rows)) == [*range(0, 200, 10), 1000]
