@@ -40,19 +40,19 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
     return int(bits.view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): the fingerprint's bits as a long. A text without words, or null, has 0."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp): the fingerprint's bits as a long. A text without words, or null, has 0. Columns of ``also`` stay."""
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField(doc_id, kind), T.StructField("fp", T.LongType())])
+    schema = T.StructType([T.StructField(doc_id, kind), T.StructField("fp", T.LongType()), *(docs.schema[c] for c in also)])
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             found = np.array([fingerprint(x, shingle) for x in utf8(batch.column(batch.schema.get_field_index(text)))], np.uint64)
-            return {doc_id: batch.column(batch.schema.get_field_index(doc_id)), "fp": pa.array(found.view(np.int64))}
+            return {"fp": pa.array(found.view(np.int64)), **{c: batch.column(batch.schema.get_field_index(c)) for c in (doc_id, *also)}}
 
         return step
 
-    return map_blocks(docs.select(doc_id, text), make, schema, text)
+    return map_blocks(docs.select(doc_id, text, *also), make, schema, text)
 
 
 def _keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -178,16 +178,16 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Documents are linked if their fingerprints differ in at most three bits. Texts are read once; copies share a
     fingerprint and are one node from there on. Texts without words (null too) have fingerprint zero and are linked like
-    others. A null id is not a component's id unless all its ids are null. Existing columns of the two names are replaced.
+    others. Rows are told apart by id and text, so each has its own fingerprint also where an id is null or shared. A null
+    id is not a component's id unless all its ids are null. Existing columns of the two names are replaced.
     """
     docs = docs.drop("fingerprint", "component_id")
-    own = stored(fingerprints(docs, doc_id, text, shingle))
+    copy = fresh("_copy", docs.columns)
+    marked = docs.withColumn(copy, F.xxhash64(text))
+    own = stored(fingerprints(marked, doc_id, text, shingle, (copy,)))
     classes = classes_of(own, doc_id, crowd)
-    result = own.join(classes, "fp").select(F.col(doc_id).alias("_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-    if docs.columns == [doc_id]:
-        return result.withColumnRenamed("_id", doc_id)
-    result = result.distinct()
-    return docs.join(result, docs[doc_id].eqNullSafe(result["_id"])).drop("_id")
+    result = own.join(classes, "fp").select(F.col(doc_id).alias("_id"), F.col(copy).alias("_same"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id").distinct()
+    return marked.join(result, marked[doc_id].eqNullSafe(result["_id"]) & (marked[copy] == result["_same"])).drop("_id", "_same", copy)
 
 
 def classes_of(own: DataFrame, doc_id: str, crowd: int = 4096) -> DataFrame:

@@ -6,6 +6,7 @@ import random
 
 import corpus_pipeline
 from matchlytics.llm.minhash import one_of_each
+from matchlytics.llm.simhash import near_duplicates
 from tests.llm.conftest import SMALL
 
 
@@ -57,3 +58,14 @@ def test_copies_with_changed_words_and_chains(spark, docs_of):
         rows.append((1000 + k, " ".join(words)))
     got = [r.doc_id for r in one_of_each(docs_of(rows)).collect()]
     assert sorted(got) == sorted(plain_kept(rows)) == [*range(0, 200, 10), 1000]
+
+
+def test_rows_of_null_and_shared_ids_are_documents_of_their_own(spark, docs_of):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (7, text(2)), (7, text(3)), (8, text(4)), (None, text(4)), (9, text(3) + " end"), (5, text(5)), (5, text(5))]
+    docs = docs_of(rows)
+    kept = corpus_pipeline.near_copies(spark, docs, SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(0, text(0)), (0, text(1)), (7, text(2)), (7, text(3)), (8, text(4)), (5, text(5))])
+    marked = near_duplicates(docs).collect()
+    assert len(marked) == len(rows)
+    assert len({(r.text, r.fingerprint) for r in marked}) == len({t for _, t in rows})
