@@ -1,7 +1,7 @@
 """Toxicity by weak supervision: voters, a generative model of their accuracies and correlations, a linear classifier.
 
-Voters are groups of lexicon entries (words and word beginnings that toxic documents of a bounded labelled sample have far
-more often) and patterns of the text. How the voters vote together over all documents gives, without labels, how far each
+Voters are groups of lexicon entries (words and word beginnings that toxic documents of a bounded labelled sample have
+significantly and far more often), by kind and by how much more often, and patterns of the text. How the voters vote together over all documents gives, without labels, how far each
 can be trusted and which ones repeat each other. The model's posterior labels then train the classifier that scores.
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matchlytics.llm.common import list_array, map_blocks, stored, utf8
 from matchlytics.llm.sentencepiece import Recent
@@ -22,9 +22,11 @@ from matchlytics.llm.sums import matrix, vector_sum
 #: Lengths of word beginnings in the lexicon, in characters.
 PREFIXES = (4, 5, 6)
 KINDS = ("word", *(f"begin{n}" for n in PREFIXES))
-#: Each kind of entry has a strong and a weak group; the patterns follow.
+#: Each kind of entry has a group for each band of odds, from these multiples of the least odds downwards; the patterns follow.
+STEPS = (20.0, 5.0, 2.0)
+BANDS = len(STEPS) + 1
 PATTERNS = ("shouting", "exclaiming", "drawn out", "hidden letters")
-VOTERS = 2 * len(KINDS) + len(PATTERNS)
+VOTERS = BANDS * len(KINDS) + len(PATTERNS)
 WIDTH = 1 + 2 * VOTERS + 1
 _EDGES = ".,;:!?\"'()[]|*#$%&<>-"
 _DRAWN = re.compile(rb"([a-z])\1\1\1")
@@ -39,12 +41,12 @@ def entries_of(word: str) -> list[str]:
     return [f"0{core}", *(f"{k}{core[:n]}" for k, n in enumerate(PREFIXES, 1) if len(core) >= n)]
 
 
-def _terms(docs: DataFrame, text: str, wanted: set[str] | None) -> DataFrame:
-    """(term, n): documents that have each entry; of the wanted ones only, if given."""
+def _terms(docs: DataFrame, text: str) -> DataFrame:
+    """(term, n): documents that have each entry."""
     schema = "term string, n long"
 
     def make():
-        known = Recent(lambda w: [e for e in entries_of(w) if wanted is None or e in wanted], 100_000)
+        known = Recent(entries_of, 100_000)
 
         def step(batch: pa.RecordBatch) -> dict:
             found: Counter = Counter()
@@ -58,25 +60,31 @@ def _terms(docs: DataFrame, text: str, wanted: set[str] | None) -> DataFrame:
     return counts.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def lexicon(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, candidates: int = 20_000, size: int = 4_000, least: int = 5, ratio: float = 10.0) -> dict[str, int]:
+def lexicon(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, least: int = 5, ratio: float = 10.0, evidence: float = 15.0) -> dict[str, int]:
     """Entry to voter, from the sample of labels, which must be small enough to be broadcast.
 
-    Entries are taken if ``least`` toxic documents and one in a hundred have them, and the share of those is ``ratio``
-    times that of the others; of more than ``size``, those in the most toxic documents.
+    All entries that ``least`` toxic documents have are tested. They are taken if the share of toxic documents is ``ratio`` times
+    that of the others (with half a document added) and the log-likelihood ratio (G) of the two counts is ``evidence`` or more.
+    The number of entries is bounded by the sample's words.
     """
     rows = docs.select(F.col(doc_id).alias("_id"), text).join(F.broadcast(labels.select(F.col(doc_id).alias("_id"), F.col(label).alias("_y"))), "_id")
     n = {r["_y"]: r["n"] for r in labels.groupBy(F.col(label).alias("_y")).agg(F.count("*").alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return {}
-    enough = max(least, n[1] // 100)
-    often = _terms(rows.where("_y = 1"), text, None).where(F.col("n") >= enough).orderBy(F.desc("n"), "term").limit(candidates).collect()
-    toxic = {r["term"]: r["n"] for r in often}
-    if not toxic:
-        return {}
-    clean = {r["term"]: r["n"] for r in _terms(rows.where("_y = 0"), text, set(toxic)).collect()}
-    odds = {t: (k / n[1]) / ((clean.get(t, 0) + 0.5) / (n[0] + 1)) for t, k in toxic.items()}
-    chosen = sorted((t for t in toxic if odds[t] >= ratio), key=lambda t: (-toxic[t], t))[:size]
-    return {t: 2 * int(t[0]) + (odds[t] < 5 * ratio) for t in chosen}
+    toxic = _terms(rows.where("_y = 1"), text).where(F.col("n") >= least)
+    both = toxic.join(_terms(rows.where("_y = 0"), text).withColumnRenamed("n", "others"), "term", "left").select("term", "n", F.coalesce("others", F.lit(0)).alias("others"))
+    share = n[1] / (n[0] + n[1])
+
+    def excess(seen: Column, all_seen: Column, part: float) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / (all_seen * part))).otherwise(0.0)
+
+    def half(a: Column, b: Column) -> Column:
+        return excess(a, a + b, share) + excess(b, a + b, 1 - share)
+
+    a, b = F.col("n"), F.col("others")
+    tested = both.withColumn("odds", (a / n[1]) / ((b + 0.5) / (n[0] + 1))).withColumn("g", 2 * (half(a, b) + half(F.greatest(n[1] - a, F.lit(0)), F.greatest(n[0] - b, F.lit(0)))))
+    found = tested.where((F.col("odds") >= ratio) & (F.col("g") >= evidence)).select("term", "odds").collect()
+    return {r["term"]: BANDS * int(r["term"][0]) + sum(r["odds"] < step * ratio for step in STEPS) for r in found}
 
 
 def votes_of(text: bytes, voters: Recent) -> np.ndarray:
@@ -87,7 +95,7 @@ def votes_of(text: bytes, voters: Recent) -> np.ndarray:
         for v in hits:
             out[v] += 1
     n = len(words)
-    at = 2 * len(KINDS)
+    at = BANDS * len(KINDS)
     letters = len(re.findall(rb"[A-Za-z]", text)) if n else 0
     out[at] = bool(letters > 20 and sum(text.count(bytes([b])) for b in range(65, 91)) > 0.5 * letters)
     out[at + 1] = text.count(b"!") if text.count(b"!") > 0.05 * n else 0
@@ -139,7 +147,7 @@ def fit_label_model(votes: np.ndarray, counts: np.ndarray, prior: float, rounds:
     Correlations of two voters among the documents of one class make their votes count less: each is divided by one and
     the sum of its positive correlations with the others, averaged over the classes.
     """
-    lexical = np.arange(VOTERS) < 2 * len(KINDS)
+    lexical = np.arange(VOTERS) < BANDS * len(KINDS)
     own = (votes * counts[:, None]).sum(0) / max(1, counts.sum())
     model = LabelModel(np.where(lexical, 0.3, np.clip(own, 1e-3, 0.9)), np.where(lexical, 0.01, np.clip(own, 1e-3, 0.9)), min(max(prior, 1e-3), 0.5), np.full(VOTERS, 0.5))
     for _ in range(rounds):

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from matchlytics.llm import lm
 from matchlytics.llm.queries import QUERIES
 from matchlytics.llm.quality_classifier import quality_scores
-from matchlytics.llm.toxicity import toxicity_scores
+from matchlytics.llm.toxicity import BANDS, KINDS, lexicon, toxicity_scores
 from tests.llm.conftest import SMALL
 
 MEDIUM = "/root/testdata/sf0.01"
@@ -36,6 +36,16 @@ def test_scores_of_odd_rows(spark, docs_of, scores, label):
     assert scores(docs_of([]), spark.createDataFrame([], f"doc_id long, {label} int")).collect() == []
 
 
+def test_lexicon_takes_rare_entries_by_evidence(spark, docs_of):
+    """A word of nine in a thousand toxic documents and of no other is taken; common ones and one of four aren't."""
+    rows = [(k, "common plain words" + (" vilest" if k < 9 else "") + (" seldom" if 4 < k < 9 else "")) for k in range(1000)]
+    rows += [(1000 + k, "common plain words" + (" seldom" if k < 12 else "")) for k in range(3000)]
+    labels = spark.createDataFrame([(i, int(i < 1000)) for i, _ in rows], "doc_id long, toxic int")
+    found = lexicon(docs_of(rows), labels, "doc_id", "text", "toxic")
+    assert set(found) == {"0vilest", "1vile", "2viles", "3vilest"}
+    assert {found["0vilest"] // BANDS, found["3vilest"] // BANDS} == {0, len(KINDS) - 1}
+
+
 def test_language_model_base_scores_and_gain(spark):
     got = QUERIES["op5_lm_scoring"](spark, SMALL).toPandas().set_index("doc_id")
     texts = {r.doc_id: r.text.encode().lower().split() + [b"\n"] for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()}
