@@ -56,15 +56,20 @@ def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("base_failed", (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20))
 
 
+def _normal(line: Column) -> Column:
+    """Lower case, white space and digits as one space."""
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D0-9]+", " "))
+
+
 def _line_key(line: Column, host: Column) -> Column:
-    """Hash of host and normalised line: lower case, white space and digits as one space."""
-    return F.xxhash64(host, F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D0-9]+", " ")))
+    """Hash of host and normalised line."""
+    return F.xxhash64(host, _normal(line))
 
 
 STATISTICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
-def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7) -> DataFrame:
+def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7, max_docs: int = 200, long_line: int = 5) -> DataFrame:
     """For each row: ``_id``, ``_copy`` (hash of the text), the statistics, ``n_lines_removed``, ``chars_removed``, ``kept`` and
     ``_keys`` of the lines to remove. See ``quality_rules``.
 
@@ -79,12 +84,14 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
         "_id",
         F.xxhash64("_host").alias("host"),
         F.xxhash64("_text").alias("copy"),
-        F.explode(F.transform(split, lambda x: F.struct(_line_key(x, F.col("_host")).alias("key"), F.length(x).alias("chars")))).alias("line"),
+        F.explode(F.transform(split, lambda x: F.struct(_line_key(x, F.col("_host")).alias("key"), F.length(x).alias("chars"), x.alias("line")))).alias("line"),
     ).select("_id", "host", "copy", "line.*")
-    held = stored(lines.join(often, "key").groupBy("_id", "copy", "key").agg(F.max("host").alias("host"), F.sum("chars").alias("chars"), F.count("*").alias("n")))
+    held = lines.join(often, "key").withColumn("long", F.size(F.split(_normal(F.col("line")), " ")) >= long_line)
+    held = stored(held.groupBy("_id", "copy", "key").agg(F.max("host").alias("host"), F.sum("chars").alias("chars"), F.count("*").alias("n"), F.max("long").alias("long")))
     hosts = rows.groupBy(F.xxhash64("_host").alias("host")).agg(F.count("*").alias("docs"))
-    counted = held.groupBy("key").agg(F.max("host").alias("host"), F.count("*").alias("found"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.min("_id").alias("first"))
-    above = counted.join(hosts, "host").where((F.col("found") > min_docs) & (F.col("found") > F.col("docs") * max_share) & (F.col("a") != F.col("b"))).select("key", "first")
+    counted = held.groupBy("key").agg(F.max("host").alias("host"), F.count("*").alias("found"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.min("_id").alias("first"), F.max("long").alias("long"))
+    many = (F.col("found") > F.col("docs") * max_share) | (F.col("long") & (F.col("found") > max_docs))
+    above = counted.join(hosts, "host").where((F.col("found") > min_docs) & many & (F.col("a") != F.col("b"))).select("key", "first")
     removed = (
         held.join(above, "key")
         .where(~F.col("_id").eqNullSafe(F.col("first")))
@@ -105,11 +112,12 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     )
 
 
-def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7) -> DataFrame:
+def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", min_docs: int = 20, max_share: float = 0.03, max_removed: float = 0.7, max_docs: int = 200, long_line: int = 5) -> DataFrame:
     """Adds the statistics, ``n_lines_removed``, ``chars_removed``, ``kept`` and ``cleaned``.
 
     A line is above the limit if more than ``min_docs`` documents of its host and more than ``max_share`` of them hold
-    it and these aren't all copies of one text. Such lines are taken out of ``cleaned``, except in the document of the
+    it and these aren't all copies of one text. Lines of ``long_line`` words or more are so in more than ``max_docs`` documents too,
+    whatever the host's size; short ones, common in clean documents, are not. Such lines are taken out of ``cleaned``, except in the document of the
     smallest id that has them. A document is rejected if it fails the base rules or if more than ``max_removed`` of its
     characters stood in such lines.
 
@@ -118,7 +126,7 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
     are empty (and fail), a null host is a host. Existing columns of the added names are replaced.
     """
     docs = docs.drop(*(c for c in [*STATISTICS, "n_lines_removed", "chars_removed", "kept", "cleaned"] if c not in (doc_id, text, host)))
-    found = verdicts(docs, doc_id, text, host, min_docs, max_share, max_removed).dropDuplicates(["_id", "_copy"])
+    found = verdicts(docs, doc_id, text, host, min_docs, max_share, max_removed, max_docs, long_line).dropDuplicates(["_id", "_copy"])
     df = docs.join(found, docs[doc_id].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text]) == found["_copy"]))
     h = F.coalesce(F.col(host).cast("string"), F.lit("\0"))
     rest = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_keys", _line_key(x, h)))), "\n")

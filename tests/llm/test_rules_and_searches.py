@@ -66,6 +66,32 @@ def test_quality_rules_edge_cases(spark, docs_of):
     assert quality_rules(docs_of([])).collect() == []
 
 
+def _hosts() -> list[tuple]:
+    """A host of 7,100 documents, of which 205 hold a long line and 205 a short one, and a small host with a line in half."""
+    name = lambda k: "".join(chr(97 + int(c)) for c in str(k))
+    own = lambda k: " ".join(f"{name(k)}x{chr(97 + j)}" for j in range(12))
+    held = lambda k: "Subscribe to our free weekly newsletter\n" if k < 205 else "Read more\n" if k < 410 else ""
+    return [(k, held(k) + own(k), "big") for k in range(7100)] + [(8000 + k, ("All rights reserved\n" if k % 2 else "") + own(8000 + k), "small") for k in range(100)]
+
+
+def test_long_lines_of_many_documents_go_on_a_large_host(spark, docs_of):
+    got = {r.doc_id: r for r in quality_rules(docs_of(_hosts())).collect()}
+    gone = {i for i, r in got.items() if r.n_lines_removed}
+    assert gone == {*range(1, 205), *range(8003, 8100, 2)}
+    assert all("\n" not in got[i].cleaned and got[i].kept for i in gone)
+
+
+def test_quality_rules_equal_sql_where_lines_are_above_the_limit(spark, docs_of, tmp_path):
+    """The SQL has no absolute limit, so the large host has 1,000 documents here."""
+    docs_of([r for r in _hosts() if r[2] == "small" or r[0] < 1000], 1).write.parquet(f"{tmp_path}/raw")
+    (tmp_path / "documents.parquet").write_bytes(next((tmp_path / "raw").glob("*.parquet")).read_bytes())
+    df = queries.QUERIES["op7_quality_rules"](spark, str(tmp_path))
+    found = database(str(tmp_path)).execute(queries.ORACLES["op7_quality_rules"])
+    rows = df.collect()
+    assert sum(r.n_lines_removed for r in rows) == 49 + 204 + 204
+    assert rows_of(df.columns, rows) == rows_of([d[0] for d in found.description], found.fetchall())
+
+
 def test_url_filter_edge_cases(spark):
     rules = queries.URL_RULES
     urls = ["http://A.B.NET/x", "https://example.net/en/1", "https://www.example.net/en", "ftp://example.com/de/x?y", "x.org/fr/", None, "", "http://", "http://foo.org/fr/?a=b&c=d#e", "http://notexample.com/de/", "http://h.io?q", "http://example.net?x://y.org/fr/"]
