@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from matchlytics.llm.centroids import cluster
 from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
 from matchlytics.llm.lm import score_documents
@@ -195,3 +196,39 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op10_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return filter_urls(table(spark, folder, "pages").select("page_id", "url"), URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+def _clustering_sql(clusters: int = 16, rounds: int = 3) -> str:
+    """The rounds one after the other; ``//`` and ``%`` round towards zero, hence the correction."""
+    gap = "list_sum(list_transform(range(1, 65), lambda j: (v.x[j] - c.x[j]) * (v.x[j] - c.x[j])))"
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""a{r} AS MATERIALIZED (
+  SELECT row, vec_id, x, k, d FROM (
+    SELECT v.row, v.vec_id, v.x, c.k, {gap} AS d FROM v, c{r} c)
+  QUALIFY row_number() OVER (PARTITION BY row ORDER BY d, k) = 1)""")
+        if r < rounds:
+            steps.append(f"""s{r} AS (
+  SELECT k, list((t - ((t % n) + n) % n) // n ORDER BY j) AS x FROM (
+    SELECT k, j, sum(y) AS t, count(*) AS n FROM (SELECT k, unnest(x) AS y, unnest(range(1, 65)) AS j FROM a{r}) GROUP BY k, j)
+  GROUP BY k),
+c{r + 1} AS MATERIALIZED (SELECT c.k, CAST(coalesce(s.x, c.x) AS BIGINT[]) AS x FROM c{r} c LEFT JOIN s{r} s USING (k))""")
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda y: CAST(floor(64 * CAST(y AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || CAST(vec_id AS VARCHAR)), x) - 1 AS k, x FROM v
+  QUALIFY k < {clusters}),
+{", ".join(steps)},
+p AS (SELECT k, sum(d) AS own FROM a{rounds} GROUP BY k)
+SELECT vec_id, CAST(k AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(own AS BIGINT) AS cluster_inertia,
+  CAST((SELECT sum(own) FROM p) AS BIGINT) AS inertia, sha256(array_to_string(list_transform(c.x, lambda y: CAST(y AS VARCHAR)), ',')) AS centroid_sha256
+FROM a{rounds} JOIN p USING (k) JOIN c{rounds} c USING (k)"""
+
+
+@query(_clustering_sql())
+def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    return cluster(table(spark, folder, "embeddings").select("vec_id", "embedding")).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest(F.concat_ws(",", "centroid")).alias("centroid_sha256")
+    )
