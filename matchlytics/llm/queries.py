@@ -12,6 +12,7 @@ from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
 from matchlytics.llm.lm import score_documents
 from matchlytics.llm.phrases import remove_later_passages
+from matchlytics.llm.prefix_trie import KEY, build_trie, ends_digests, forked, numbered
 from matchlytics.llm.quality_classifier import quality_scores
 from matchlytics.llm.quality_rules import STATISTICS, verdicts
 from matchlytics.llm.sentencepiece import decode, encode
@@ -232,3 +233,41 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return cluster(table(spark, folder, "embeddings").select("vec_id", "embedding")).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest(F.concat_ws(",", "centroid")).alias("centroid_sha256")
     )
+
+
+@query("""
+WITH o AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+f AS (
+  SELECT conv_id, w, CAST(xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), CAST(range(8) AS BIGINT[])), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) AS BIGINT) % 4 AS h
+  FROM o),
+c AS (
+  SELECT f.conv_id, list_concat(coalesce(b.w[:f.h], []), f.w[f.h + 1:]) AS w
+  FROM f LEFT JOIN o b ON b.conv_id = f.conv_id - f.conv_id % 20),
+n AS (
+  SELECT d, w[:d] AS p, min(conv_id) AS conv_id, count(*) AS n, list(conv_id ORDER BY conv_id) FILTER (len(w) = d) AS ends
+  FROM (SELECT conv_id, w, unnest(range(len(w) + 1)) AS d FROM c) GROUP BY ALL),
+k AS (SELECT d - 1 AS d, p[:d - 1] AS p, count(*) AS k FROM n WHERE d > 0 GROUP BY ALL),
+m AS (
+  SELECT n.*, coalesce(k, 0) AS k, CASE WHEN d > 0 THEN (n.n - 1) * len(regexp_extract_all(p[d].t, '[^\\x20\\x09-\\x0D]+')) ELSE 0 END AS saved
+  FROM n LEFT JOIN k USING (d, p)),
+s AS (SELECT a AS d, p[:a] AS p, sum(saved) AS saved, count(*) FILTER (k = 0) AS leaves FROM (SELECT *, unnest(range(d + 1)) AS a FROM m) GROUP BY ALL)
+SELECT m.conv_id, m.d AS depth, u.conv_id AS parent_conv_id, m.n AS n_convs, m.k AS n_children, s.leaves AS n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(array_to_string(list_transform(m.ends, lambda e: CAST(e AS VARCHAR)), ','), '')) AS ends_sha256
+FROM m JOIN s USING (d, p) LEFT JOIN n u ON u.d = m.d - 1 AND u.p = m.p[:m.d - 1]
+""")
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns, convs = forked(numbered(table(spark, folder, "conversations")), 20, 4)
+    trie = build_trie(turns, convs)
+    return trie.nodes.join(ends_digests(trie.ends), KEY, "left").select(
+        "conv_id",
+        "depth",
+        "parent_conv_id",
+        "n_convs",
+        "n_children",
+        "n_leaves",
+        "saved_tokens",
+        F.coalesce("ends_sha256", digest(F.lit(""))).alias("ends_sha256"),
+    )
