@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from matchlytics.llm.centroids import cluster
 from matchlytics.llm.common import crc_mod, stored
 from matchlytics.llm.decontaminate import decontaminate
+from matchlytics.llm.language_id import languages
 from matchlytics.llm.lm import score_documents
 from matchlytics.llm.phrases import remove_later_passages
 from matchlytics.llm.prefix_trie import KEY, build_trie, ends_digests, forked, numbered
@@ -235,6 +236,11 @@ def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return languages(table(spark, folder, "documents"), crc_mod("doc_id", 3) != 1).select("doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("""
 WITH o AS (
   SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS w
