@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from matchlytics.llm.common import fresh, list_array, map_blocks, on_workers, stored
+from matchlytics.llm.common import list_array, map_blocks, on_workers, stored
 from matchlytics.llm.sums import matrix, vector_sum
 
 #: Components below this are squared and summed as 64-bit integers; others as Python's integers, with the same results.
@@ -138,8 +138,8 @@ def _moved(table: DataFrame, width: int, scale: int, centroids: list[list[int]],
     return [[x // o[0] for x in o[1:]] if o[0] else c for o, c in zip(own, centroids)]
 
 
-def cluster(vectors: DataFrame, clusters: int = 16, rounds: int = 3, width: int = 64, scale: int = 64, vec_id: str = "vec_id", vector: str = "embedding", lead: int = 12, salt: str = "1") -> DataFrame:
-    """The columns of ``vectors``, cluster (int), distance (long, squared), cluster_inertia, inertia (long), centroid (array of text).
+def cluster(vectors: DataFrame, clusters: int = 16, rounds: int = 3, width: int = 64, scale: int = 64, vec_id: str = "vec_id", vector: str = "embedding", lead: int = 12, salt: str = "1", keep: Sequence[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``vectors`` (None: all), cluster (int), distance (long, squared), cluster_inertia, inertia (long), centroid (array of text).
 
     Vectors with exactly ``width`` components, none null, NaN or infinite, are kept; a component x becomes floor(scale * x).
     Centroids start as the vectors whose lowercase-hex sha256 of ``<salt>:<vec_id>`` is smallest (repeated ids: by components;
@@ -154,29 +154,29 @@ def cluster(vectors: DataFrame, clusters: int = 16, rounds: int = 3, width: int
     """
     number = F.col(f"`{vector}`")
     kept = vectors.where((F.size(number) == width) & F.forall(number, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))))
-    own = [c for c in vectors.columns if c.lower() not in ("cluster", "distance", "cluster_inertia", "inertia", "centroid") or c in (vec_id, vector)]
-    named = {c: fresh(f"c{k}", ["vector", "short"]) for k, c in enumerate(own)}
+    own = [c for c in (vectors.columns if keep is None else keep) if c.lower() not in ("cluster", "distance", "cluster_inertia", "inertia", "centroid") or c in (vec_id, vector)]
+    named = {c: "vector" if c == vector else f"c{k}" for k, c in enumerate(own)}
     on_workers(vectors.sparkSession)
     turned = rotation(kept.select(number.cast("array<double>").alias("vector")), width, scale, lead)
-    plain = kept.select(*[F.col(f"`{c}`").alias(n) for c, n in named.items()], number.cast("array<double>").alias("vector"))
-    schema = T.StructType([*[f for f in plain.schema if f.name != "vector"], T.StructField("vector", plain.schema["vector"].dataType), T.StructField("short", T.ArrayType(T.DoubleType()))])
+    plain = kept.select(number.alias("vector"), F.col(f"`{vec_id}`").alias("id"), *[F.col(f"`{c}`").alias(n) for c, n in named.items() if n != "vector"])
+    schema = T.StructType([*plain.schema, T.StructField("short", T.ArrayType(T.DoubleType()))])
 
     def projected():
         def step(batch: pa.RecordBatch) -> dict:
-            rows = matrix(batch.column("vector"), width)
+            rows = matrix(batch.column("vector").cast(pa.list_(pa.float64())), width)
             short = turned.project(integers(rows, scale))
             return {n: batch.column(n) for n in batch.schema.names} | {"short": list_array(short.ravel(), np.full(len(short), short.shape[1]), pa.float64())}
 
         return step
 
     table = stored(map_blocks(plain, projected, schema, "vector", BLOCK))
-    key = F.sha2(F.concat(F.lit(f"{salt}:"), F.col(named[vec_id]).cast("string")).cast("binary"), 256)
+    key = F.sha2(F.concat(F.lit(f"{salt}:"), F.col("id").cast("string")).cast("binary"), 256)
     first = table.select(key.alias("key"), "vector").orderBy(F.col("key").asc_nulls_last(), "vector").limit(clusters).collect()
     centroids = [[int(v) for v in integers(np.array([r.vector], float), scale)[0]] for r in first]
     for _ in range(rounds if centroids else 0):
         centroids = _moved(table, width, scale, centroids, turned)
 
-    out = T.StructType([*[f for f in plain.schema if f.name != "vector"], T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.LongType())])
+    out = T.StructType([*[f for f in plain.schema if f.name in named.values()], T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.LongType())])
 
     def assigned():
         assign = _assigner(width, scale, centroids, turned)

@@ -231,7 +231,7 @@ FROM a{rounds} JOIN p USING (k) JOIN c{rounds} c USING (k)"""
 
 @query(_clustering_sql())
 def op11_centroid_clustering(spark: SparkSession, folder: str) -> DataFrame:
-    return cluster(table(spark, folder, "embeddings").select("vec_id", "embedding")).select(
+    return cluster(table(spark, folder, "embeddings"), keep=["vec_id"]).select(
         "vec_id", "cluster", "distance", "cluster_inertia", "inertia", digest(F.concat_ws(",", "centroid")).alias("centroid_sha256")
     )
 
