@@ -219,9 +219,12 @@ def sample_windows(labelled: DataFrame, text: str, lang: str, per_lang: int, per
     Texts are chosen by hash over all rows; of a text, at most ``per_text`` windows spread evenly over the whole of it.
     """
     rows = labelled.where(F.col(lang).isNotNull() & (F.length(text) > 0)).select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64(*[c for c, kind in labelled.dtypes if not kind.startswith("map")]).alias("rank"))
-    sizes = labelled.where(F.col(lang).isNotNull() & (F.length(text) > 0)).groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
-    # Four times as many as wanted by hash alone, so that little is sorted; then the first of each language.
-    thin = rows.join(sizes, "lang").where(F.pmod("rank", F.lit(1 << 20)) * F.col("n") < F.lit(4 * per_lang << 20)).drop("n")
+    sizes = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row a language
+    if not sizes:
+        sizes = {"": 1}
+    # Four times as many as wanted by hash alone, without a shuffle; then the first of each language.
+    share = F.element_at(F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(1 << 20, (4 * per_lang << 20) // n + 1))]), F.col("lang"))
+    thin = rows.where(F.pmod("rank", F.lit(1 << 20)) < share)
     first = stored(thin.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("rank"))).where(F.col("k") <= per_lang).drop("k"))
     langs = sorted(r.lang for r in first.select("lang").distinct().collect())
     number = {x: k for k, x in enumerate(langs)}
@@ -252,6 +255,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_lang:
     if not langs:
         return None
     on_workers(labelled.sparkSession)
+    dealt = windows.repartitionByRange(shards, "shard")  # a task a shard
     network = Network.start(langs, hidden)
     for turn in range(rounds if len(langs) > 1 else 0):
         now = network
@@ -262,7 +266,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang", per_lang:
             values = _trained_on(now, rows["window"].tolist(), rows["label"].to_numpy(), speed, passes, batch, turn)
             return pd.DataFrame({"shard": [rows["shard"].iloc[0]], "n": [len(rows)], "weights": [values.astype(np.float32).tobytes()]})
 
-        found = windows.groupBy("shard").applyInPandas(local, "shard long, n long, weights binary").orderBy("shard").collect()
+        found = dealt.groupBy("shard").applyInPandas(local, "shard long, n long, weights binary").orderBy("shard").collect()
         total = sum(r.n for r in found)
         network = network.unpacked(sum(np.frombuffer(r.weights, np.float32).astype(float) * (r.n / total) for r in found))
     return network
