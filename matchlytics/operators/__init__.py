@@ -15,10 +15,11 @@ from matchlytics.operators.history import (
     last_per_day,
     latest,
     scd2,
+    scd2_day,
     scd2_merge,
     with_previous,
 )
-from matchlytics.operators.load import not_loaded, only_configured, only_date, upsert
+from matchlytics.operators.load import fill_nulls, not_loaded, only_configured, only_date, retract, upsert
 from matchlytics.operators.lookup import (
     fallback_lookup,
     join_loss,
@@ -49,6 +50,7 @@ __all__ = [
     "cube_levels",
     "distinct_by_key",
     "fallback_lookup",
+    "fill_nulls",
     "flatten",
     "grid",
     "histogram",
@@ -68,10 +70,12 @@ __all__ = [
     "previous_value",
     "recent",
     "role_rows",
+    "retract",
     "rollup_levels",
     "row_index",
     "running_total",
     "scd2",
+    "scd2_day",
     "scd2_merge",
     "spans_played",
     "split_rejects",

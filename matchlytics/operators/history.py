@@ -80,6 +80,45 @@ def scd2_merge(
     return existing.join(touched, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
 
 
+def scd2_day(
+    existing: DataFrame,
+    at: str,
+    touched: DataFrame,
+    observed: DataFrame,
+    later: DataFrame,
+    key: str | Sequence[str],
+    day: str,
+    tracked: Sequence[str],
+    attrs: Sequence[str] = (),
+    tie: str | Sequence[str] = (),
+) -> DataFrame:
+    """``existing`` versions once the observations of the day ``at`` have become ``observed``, equal to a rebuild.
+
+    ``touched`` holds the keys that the day had before or has now, ``later`` the observations after it. A version tells
+    what all observations in it were, so of each touched key only the version before the day, the day itself, the first
+    later observation and the versions after it are lined up. Observations before the day are not needed, and for a day
+    after all others there is no history to read at all. A key without any observation left has no version.
+    """
+    key, tracked, attrs, tie = _list(key), list(tracked), list(attrs), _list(tie)
+    values, start = [*tracked, *attrs], "effective_from"
+    at = F.lit(at).cast("date")
+    touched = touched.select(*key).distinct()
+    mine = existing.join(touched, key, "left_semi").where(F.col(start) != at).select(*key, *values, start)
+    following = mine.where(F.col(start) > at).groupBy(*key).agg(F.min(start).alias("__next"))
+    resumed = (
+        last_per_day(later.where(F.to_date(day) > at).join(touched, key, "left_semi"), key, day, values, tie)
+        .groupBy(*key)
+        .agg(F.min(F.struct(F.col(day).alias(start), *values)).alias("__first"))
+        .select(*key, "__first.*")
+        .join(following, key, "left")
+        .where(F.col("__next").isNull() | (F.col(start) < F.col("__next")))
+    )
+    now = last_per_day(observed.where(F.to_date(day) == at), key, day, values, tie).withColumnRenamed(day, start)
+    lined_up = mine.unionByName(now.select(*mine.columns)).unionByName(resumed.select(*mine.columns))
+    rebuilt = scd2(lined_up, key, start, tracked, attrs)
+    return existing.join(touched, key, "left_anti").select(*rebuilt.columns).unionByName(rebuilt)
+
+
 def changed_starts(before: DataFrame, after: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Versions present in only one of two version tables: facts inside their intervals may point elsewhere now."""
     on = [*_list(key), "effective_from"]

@@ -33,3 +33,17 @@ def not_loaded(incoming: DataFrame, loaded: DataFrame, keys: Sequence[str]) -> D
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Incoming rows and the existing ones they do not replace."""
     return not_loaded(existing, incoming, keys).unionByName(incoming)
+
+
+def retract(existing: DataFrame, gone: DataFrame, elsewhere: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``existing`` without the keys in ``gone`` that ``elsewhere`` does not hold either."""
+    keys = list(keys)
+    lost = not_loaded(gone.select(*keys).distinct(), elsewhere, keys)
+    return not_loaded(existing, lost, keys)
+
+
+def fill_nulls(existing: DataFrame, values: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
+    """``existing`` with ``column`` taken from ``values`` (one row a key) where it is NULL, and nowhere else."""
+    keys = list(keys)
+    known = values.where(F.col(column).isNotNull()).select(*keys, F.col(column).alias("__value"))
+    return existing.join(known, keys, "left").withColumn(column, F.coalesce(column, "__value")).select(*existing.columns)

@@ -2,22 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from matchlytics.functions import date_key, year_bucket
-from matchlytics.operators import changed_starts, only_configured, only_date, tag_rejects, temporal_lookup, upsert
+from matchlytics.functions import year_bucket
+from matchlytics.operators import changed_starts, only_configured, only_date, retract, temporal_lookup, upsert
 from matchlytics.plans import dimensions as D
 from matchlytics.plans import stats as S
+from matchlytics.plans.enrich import enrich_birth_year
 from matchlytics.plans.facts import fact_event
-from matchlytics.sources import read_raw, read_table, replace_partitions, replace_table, table_exists
+from matchlytics.sources import (
+    RAW,
+    MissingSource,
+    append,
+    clear_partitions,
+    read_raw,
+    read_table,
+    replace_partitions,
+    replace_table,
+    table_exists,
+)
 
 # Years with a storage range of their own; other days share the default range.
 FIRST_YEAR, LAST_YEAR = 2017, 2020
 
 BY_DAY = ["year_range", "date_id"]
-# An event lacking one of these keeps its row, with the reason in ``reject_reason``: one pass writes both kinds.
-REQUIRED_KEYS = ("match_sk", "team_sk", "event_type_sk")
-
 
 class Warehouse:
     """Paths of the tables under one folder."""
@@ -37,18 +45,45 @@ class Warehouse:
     def replace(self, table: str, rows: DataFrame) -> None:
         replace_table(rows.withColumn("created_at", F.current_timestamp()), self.path(table))
 
-    def merge(self, table: str, rows: DataFrame, keys: list[str]) -> None:
+    def stage(self, table: str, rows: DataFrame) -> DataFrame:
+        """The new rows of a table, written beside it and read back; the table itself stays as it is."""
+        staged = self.path(f"{table}__new")
+        rows.write.mode("overwrite").parquet(staged)
+        return self.spark.read.schema(rows.schema).parquet(staged)
+
+    def put(self, table: str, rows: DataFrame, keys: list[str], stale: Column | None = None) -> None:
+        """Replaces rows by key; existing rows that are ``stale`` go, whether or not a new one has their key."""
         rows = rows.withColumn("created_at", F.current_timestamp())
-        replace_table(upsert(self.read(table), rows, keys) if self.exists(table) else rows, self.path(table))
+        if self.exists(table):
+            kept = self.read(table)
+            rows = upsert(kept if stale is None else kept.where(~F.coalesce(stale, F.lit(False))), rows, keys)
+        replace_table(rows, self.path(table))
 
-    def write_days(self, table: str, rows: DataFrame) -> int:
-        """Replaces whole days, in yearly ranges."""
+    def write_days(self, table: str, rows: DataFrame, days: list[str]) -> int:
+        """Makes ``days`` hold just these rows, in yearly ranges; a day without rows has no partition left."""
         ranged = rows.withColumn("year_range", year_bucket("date_id", FIRST_YEAR, LAST_YEAR))
-        return replace_partitions(ranged.withColumn("created_at", F.current_timestamp()), self.path(table), BY_DAY)
+        seen = Observation()  # bounded by the days of one load
+        ranged = ranged.withColumn("created_at", F.current_timestamp()).observe(seen, F.collect_set("date_id").alias("days"))
+        written = replace_partitions(ranged, self.path(table), BY_DAY)
+        for day in {int(d.replace("-", "")) for d in days} - set(seen.get["days"]):
+            clear_partitions(self.spark, self.path(table), [None, ("date_id", day)])
+        return written
+
+    def accepted(self, table: str) -> DataFrame:
+        """Rows of a fact table without a reason to reject them."""
+        return S.accepted(self.read(table))
+
+    def landed(self, kind: str) -> DataFrame:
+        """Landed documents of all days; none if there are no files left."""
+        try:
+            return self.read(f"landed_{kind}")
+        except MissingSource:
+            own = "" if RAW[kind].strip().startswith("match_id") else "match_id bigint, "
+            return self.spark.createDataFrame([], f"{own}{RAW[kind]}, date date")
 
 
 def land(spark: SparkSession, root: str, wh: Warehouse, date: str, config: DataFrame | None = None) -> int:
-    """Parses a day's JSON once into Parquet, a partition per kind and day.
+    """Parses a day's JSON once into Parquet, a partition per kind and day, in place of what the day had before.
 
     ``config(competition_name, season_name)`` restricts the matches, and with them lineups and events.
     Returns the number of matches.
@@ -59,98 +94,178 @@ def land(spark: SparkSession, root: str, wh: Warehouse, date: str, config: DataF
             {"competition_name": F.col("competition.competition_name"), "season_name": F.col("season.season_name")}
         )
         matches = only_configured(named, config, ["competition_name", "season_name"]).drop("competition_name", "season_name")
-    landed = replace_partitions(matches, wh.path("landed_matches"), ["date"])
-    if not landed:
-        return 0
+
+    def put(kind: str, rows: DataFrame) -> int:
+        path = wh.path(f"landed_{kind}")
+        return replace_partitions(rows, path, ["date"]) or -clear_partitions(spark, path, [("date", date)])
+
+    landed = put("matches", matches)
     for kind in ("lineups", "events"):
-        rows = read_raw(spark, root, kind, date).join(matches.select("match_id"), "match_id", "left_semi")
-        replace_partitions(rows, wh.path(f"landed_{kind}"), ["date"])
-    return landed
+        if landed > 0:
+            put(kind, read_raw(spark, root, kind, date).join(matches.select("match_id"), "match_id", "left_semi"))
+        else:
+            clear_partitions(spark, wh.path(f"landed_{kind}"), [("date", date)])
+    return max(landed, 0)
+
 
+def _day_keys(matches: DataFrame, lineups: DataFrame, events: DataFrame) -> DataFrame:
+    """(kind, key, name) of all that a day's documents mention: what has to be looked at again should they change."""
 
-def _merge_versions(wh: Warehouse, date: str) -> list[str]:
-    """Merges the day into the team and player versions.
+    def of(kind: str, rows: DataFrame, key: str, name: str | None = None) -> DataFrame:
+        named = F.col(name) if name else F.lit(None)
+        return rows.select(F.lit(kind).alias("kind"), F.col(key).cast("string").alias("key"), named.cast("string").alias("name"))
 
-    Returns the days whose facts point to other versions than before, the loaded day included. They are at most the
-    days of the calendar, and usually just the one.
+    keys = of("team", D.team_observations(matches), "team_natural_id")
+    keys = keys.unionByName(of("player", D.player_observations(lineups, matches), "player_natural_id"))
+    keys = keys.unionByName(of("season", matches.select("season.season_name"), "season_name"))
+    keys = keys.unionByName(of("event_type", D.event_type_dim(events), "event_type_sk"))
+    patterns = events.select(F.col("play_pattern.id").cast("int").alias("id"), F.col("play_pattern.name").alias("name"))
+    return keys.unionByName(of("play_pattern", patterns, "id", "name")).where(F.col("key").isNotNull()).distinct()
+
+
+def _versions(wh: Warehouse, date: str, touched: DataFrame) -> list[str]:
+    """Puts the day's observations in place of its former ones in the team and player versions.
+
+    Returns the days whose facts point to other versions than before, the loaded day included. Of the landed documents only
+    the day and those after it are read; the versions say what came before.
     """
-    day = F.col("date") == F.lit(date).cast("date")
-    matches, lineups = wh.read("landed_matches"), wh.read("landed_lineups")
-    new_matches, new_lineups = matches.where(day), lineups.where(day)
+    at = F.lit(date).cast("date")
+    matches, lineups = wh.landed("matches"), wh.landed("lineups")
+    today = lineups.where(F.col("date") == at), matches.where(F.col("date") == at)
+    later = lineups.where(F.col("date") > at), matches.where(F.col("date") > at)
+
+    def keys(kind: str, name: str) -> DataFrame:
+        return touched.where(F.col("kind") == kind).select(F.col("key").alias(name))
 
     merged = {
         "dim_team": (
             "team_natural_id",
-            D.team_observations(matches),
-            lambda old: D.team_dim_merge(old, matches, new_matches),
-            lambda: D.team_dim(matches),
+            D.team_observations(later[1]),
+            lambda old, key: D.team_dim_day(old, date, keys("team", key), today[1], later[1]),
+            lambda: D.team_dim(today[1]),
         ),
         "dim_player": (
             "player_natural_id",
-            D.player_observations(lineups, matches),
-            lambda old: D.player_dim_merge(old, (lineups, matches), (new_lineups, new_matches)),
-            lambda: D.player_dim(lineups, matches),
+            D.player_observations(*later),
+            lambda old, key: D.player_dim_day(old, date, keys("player", key), today, later),
+            lambda: D.player_dim(*today),
         ),
     }
     stale = {date}
-    for table, (key, observations, merge, build) in merged.items():
+    for table, (key, after, merge, build) in merged.items():
         if not wh.exists(table):
             wh.replace(table, build())
             continue
         before = wh.read(table)
-        staged = wh.path(f"{table}__before")
-        before.write.mode("overwrite").parquet(staged)
-        wh.replace(table, merge(before))
-        moved = changed_starts(wh.spark.read.parquet(staged), wh.read(table), key)
-        touched = temporal_lookup(
-            observations.select(key, "match_date"), moved.withColumn("moved", F.lit(True)), [key], "match_date", ["moved"]
-        )
-        days = touched.where("moved").select(F.date_format("match_date", "yyyy-MM-dd").alias("day")).distinct()
+        new = wh.stage(table, merge(before, key))
+        # Starts only move from the day on, so that only later days can point elsewhere.
+        moved = changed_starts(before, new, key).withColumn("moved", F.lit(True))
+        pointing = temporal_lookup(after.select(key, "match_date"), moved, [key], "match_date", ["moved"])
+        days = pointing.where("moved").select(F.date_format("match_date", "yyyy-MM-dd").alias("day")).distinct()
         stale |= {r.day for r in days.toLocalIterator()}
+        wh.replace(table, new)
     return sorted(stale)
 
 
 def run(spark: SparkSession, root: str, out: str, date: str, config: DataFrame | None = None) -> dict[str, int]:
-    """Loads a day and whatever earlier or later days it changes; returns rows written per fact table."""
+    """Loads a day and whatever other days it changes; returns rows written per fact table, and rows that a lookup lost.
+
+    A day may be loaded again with other documents, or with none: afterwards all tables are as if it had always been so.
+    ``day_keys`` remembers what each day mentions. Its new keys are added before any other table is touched and the former
+    ones go last, so that a load that was cut off and is run again still knows both.
+    """
     wh = Warehouse(spark, out)
-    if not land(spark, root, wh, date, config):
+    landed = land(spark, root, wh, date, config)
+    known = wh.path("day_keys")
+    at = F.lit(date).cast("date")
+    if not landed and not (wh.exists("day_keys") and not wh.read("day_keys").where(F.col("date") == at).isEmpty()):
         return {}
-    days = _merge_versions(wh, date)
 
+    today = {kind: wh.landed(kind).where(F.col("date") == at) for kind in ("matches", "lineups", "events")}
+    keys = wh.stage("day_keys", _day_keys(**today).withColumn("date", at))
+    append(keys, known, ["date"])
+    every = wh.read("day_keys")
+    touched = every.where(F.col("date") == at).select("kind", "key", "name").distinct()
+    elsewhere = every.where(F.col("date") != at).unionByName(keys)
+
+    days = _versions(wh, date, touched)
     in_days = F.col("date").isin(*[F.lit(d).cast("date") for d in days])
-    matches, events = wh.read("landed_matches").where(in_days), wh.read("landed_events").where(in_days)
+    matches, events = wh.landed("matches").where(in_days), wh.landed("events").where(in_days)
     teams, players = wh.read("dim_team"), wh.read("dim_player")
+    on_days = lambda c: F.col(c).isin(*[F.lit(d).cast("date") for d in days])
 
-    wh.merge("dim_date", D.date_dim(matches), ["date_id"])
+    wh.put("dim_date", D.date_dim(matches), ["date_id"], on_days("date_value"))
     wh.replace("dim_location", D.zone_dim(spark))
-    wh.merge("dim_event_type", D.event_type_dim(events), ["event_type_sk"])
-    wh.merge("dim_play_pattern", D.play_pattern_dim(events), ["play_pattern_sk"])
-    wh.merge("dim_match", D.match_dim(matches, teams), ["match_natural_id"])
+    wh.put("dim_match", D.match_dim(matches, teams), ["match_natural_id"], on_days("match_date"))
+    wh.put("dim_event_type", D.event_type_dim(today["events"]), ["event_type_sk"])
+    patterns = today["events"].select("play_pattern")
+    if wh.exists("dim_play_pattern"):
+        stored = wh.read("dim_play_pattern").select(F.struct(F.col("play_pattern_id").cast("bigint").alias("id"), F.col("play_pattern_name").alias("name")).alias("play_pattern"))
+        patterns = patterns.unionByName(stored)
+    wh.replace("dim_play_pattern", D.play_pattern_dim(patterns))
+    _forget(wh, touched, keys, elsewhere)
 
     match_dim = wh.read("dim_match")
-    written = {
-        "fact_event": wh.write_days(
-            "fact_event",
-            tag_rejects(
-                fact_event(events, match_dim, teams, players, wh.read("dim_event_type"), wh.read("dim_play_pattern")),
-                {key: F.col(key).isNotNull() for key in REQUIRED_KEYS},
-            ),
-        ),
-        "fact_player_match_stats": wh.write_days(
-            "fact_player_match_stats", S.player_match_stats(events, match_dim, teams, players)
-        ),
-        "fact_team_match_stats": wh.write_days("fact_team_match_stats", S.team_match_stats(events, match_dim, teams)),
+    types, patterns = wh.read("dim_event_type"), wh.read("dim_play_pattern")
+    loss = {name: Observation() for name in ("fact_event", "fact_player_match_stats", "fact_team_match_stats")}
+    facts = {
+        "fact_event": fact_event(events, match_dim, teams, players, types, patterns, loss=loss["fact_event"]),
+        "fact_player_match_stats": S.checked_player_stats(events, match_dim, teams, players, loss["fact_player_match_stats"]),
+        "fact_team_match_stats": S.checked_team_stats(events, match_dim, teams, loss["fact_team_match_stats"]),
     }
-    if written["fact_player_match_stats"]:
-        written["fact_player_season_stats"] = _refresh_seasons(wh, days)
+    written = {}
+    for name, rows in facts.items():  # accepted and rejected rows in one pass, and what each lookup lost with them
+        written[name] = wh.write_days(name, rows, days)
+        lost = loss[name].get
+        written |= {f"{name}: {lookup} not found": n for lookup, n in lost.items() if lookup != "rows"}
+    seasons = touched.where(F.col("kind") == "season").select(F.col("key").alias("season"))
+    others = match_dim.where(on_days("match_date")).select("season")
+    written["fact_player_season_stats"] = _refresh_seasons(wh, seasons.unionByName(others).distinct())
+    replace_partitions(keys, known, ["date"]) or clear_partitions(spark, known, [("date", date)])
     return written
 
 
-def _refresh_seasons(wh: Warehouse, days: list[str]) -> int:
-    """Totals of the seasons that the days belong to, each season a partition."""
-    match_dim = wh.read("dim_match")
-    seasons = match_dim.where(F.col("match_date").isin(*[F.lit(d).cast("date") for d in days])).select("season").distinct()
-    in_season = match_dim.join(seasons, "season", "left_semi")
-    totals = S.season_stats(wh.read("fact_player_match_stats"), in_season)
-    stamped = totals.withColumn("created_at", F.current_timestamp())
-    return replace_partitions(stamped, wh.path("fact_player_season_stats"), ["season"])
+def _forget(wh: Warehouse, touched: DataFrame, keys: DataFrame, elsewhere: DataFrame) -> None:
+    """Takes out event types and play patterns that only the day's former documents had.
+
+    The keys of other days are read only if the day has lost any.
+    """
+    gone = wh.stage("day_keys_gone", touched.join(keys, ["kind", "key"], "left_anti").where(F.col("kind").isin("event_type", "play_pattern")))
+    renamed = touched.where(F.col("kind") == "play_pattern").join(keys, ["kind", "key", "name"], "left_anti")
+    types = gone.where(F.col("kind") == "event_type").select(F.col("key").alias("event_type_sk"))
+    if not types.isEmpty():
+        there = elsewhere.where(F.col("kind") == "event_type").select(F.col("key").alias("event_type_sk"))
+        wh.replace("dim_event_type", retract(wh.read("dim_event_type").drop("created_at"), types, there, ["event_type_sk"]))
+    if not renamed.isEmpty():
+        named = elsewhere.where(F.col("kind") == "play_pattern").select(F.col("key").cast("int").alias("id"), "name")
+        raw = named.select(F.struct("id", "name").alias("play_pattern"))
+        wh.replace("dim_play_pattern", D.play_pattern_dim(raw))
+
+
+def _refresh_seasons(wh: Warehouse, seasons: DataFrame) -> int:
+    """Totals of these seasons, each a partition; one without matches has none left."""
+    in_season = wh.read("dim_match").join(seasons, "season", "left_semi")
+    try:
+        played = wh.accepted("fact_player_match_stats")
+    except MissingSource:  # no day has any
+        played = None
+    path, written = wh.path("fact_player_season_stats"), 0
+    found: set = set()
+    if played is not None:
+        seen = Observation()
+        totals = S.season_stats(played, in_season).withColumn("created_at", F.current_timestamp())
+        written = replace_partitions(totals.observe(seen, F.collect_set("season").alias("seasons")), path, ["season"])
+        found = set(seen.get["seasons"])
+    for r in seasons.toLocalIterator():
+        if r.season not in found:
+            clear_partitions(wh.spark, path, [("season", r.season)])
+    return written
+
+
+def enrich(wh: Warehouse, people: DataFrame) -> int:
+    """Fills the birth years that stored players lack from ``people(name, birth_year)``; returns how many versions have one.
+
+    Only NULLs change. Later loads keep the years: versions of a player that they make anew take them over.
+    """
+    wh.replace("dim_player", wh.stage("dim_player", enrich_birth_year(wh.read("dim_player").drop("created_at"), people)))
+    return wh.read("dim_player").where(F.col("birth_year").isNotNull()).count()

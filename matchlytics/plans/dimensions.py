@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from matchlytics.functions import classify_in, classify_like, coalesce_leaf, date_key, field, hash_key
 from matchlytics.functions import values as V
 from matchlytics.functions.pitch import BAND_LIMITS, BOX_ZONE
-from matchlytics.operators import distinct_by_key, flatten, role_rows, scd2, scd2_merge, temporal_lookup
+from matchlytics.operators import distinct_by_key, fill_nulls, flatten, role_rows, scd2, scd2_day, scd2_merge, temporal_lookup
 from matchlytics.operators.history import OPEN_END
 
 TEAM_VERSIONS = {
@@ -126,6 +126,11 @@ def team_dim_merge(existing: DataFrame, history: DataFrame, incoming: DataFrame)
     return _teams(scd2_merge(existing, team_observations(history), team_observations(incoming), **TEAM_VERSIONS))
 
 
+def team_dim_day(existing: DataFrame, at: str, touched: DataFrame, matches: DataFrame, later: DataFrame) -> DataFrame:
+    """``existing`` once the day ``at`` holds just ``matches``; ``later`` are the matches after it."""
+    return _teams(scd2_day(existing, at, touched, team_observations(matches), team_observations(later), **TEAM_VERSIONS))
+
+
 def player_observations(lineups: DataFrame, matches: DataFrame) -> DataFrame:
     """Each listed player of each match: team, name, nationality and first position."""
     days = matches.select("match_id", F.to_date("match_date").alias("match_date"))
@@ -174,16 +179,26 @@ def player_dim_merge(
     position_groups=V.POSITION_GROUPS,
 ) -> DataFrame:
     """``existing`` after ``incoming`` (lineups, matches), given all lineups and matches. Known birth years stay."""
-    merged = _players(
-        scd2_merge(existing, player_observations(*history), player_observations(*incoming), **PLAYER_VERSIONS),
-        position_groups,
-    )
-    years = existing.groupBy("player_natural_id").agg(F.max("birth_year").alias("__year"))
-    return (
-        merged.join(years, "player_natural_id", "left")
-        .withColumn("birth_year", F.coalesce("birth_year", "__year"))
-        .select(*merged.columns)
-    )
+    merged = scd2_merge(existing, player_observations(*history), player_observations(*incoming), **PLAYER_VERSIONS)
+    return _with_known_years(_players(merged, position_groups), existing)
+
+
+def player_dim_day(
+    existing: DataFrame,
+    at: str,
+    touched: DataFrame,
+    today: tuple[DataFrame, DataFrame],
+    later: tuple[DataFrame, DataFrame],
+    position_groups=V.POSITION_GROUPS,
+) -> DataFrame:
+    """``existing`` once the day ``at`` holds just ``today`` (lineups, matches). Known birth years stay."""
+    versions = scd2_day(existing, at, touched, player_observations(*today), player_observations(*later), **PLAYER_VERSIONS)
+    return _with_known_years(_players(versions, position_groups), existing)
+
+
+def _with_known_years(players: DataFrame, existing: DataFrame) -> DataFrame:
+    years = existing.groupBy("player_natural_id").agg(F.max("birth_year").alias("birth_year"))
+    return fill_nulls(players, years, ["player_natural_id"], "birth_year")
 
 
 def match_dim(matches: DataFrame, team_dim: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
-from matchlytics.functions import clock_seconds, coalesce_leaf, date_key, first_point, null_outside, pitch_zone
+from matchlytics.functions import clock_seconds, coalesce_leaf, date_key, first_point, hash_key, null_outside, pitch_zone
 from matchlytics.functions import values as V
-from matchlytics.operators import flatten, null_safe_lookup, temporal_lookup, typed
+from matchlytics.operators import flatten, null_safe_lookup, tag_rejects, temporal_lookup, typed
 
 
 def flat_events(events: DataFrame, legacy_null_zone: bool = False) -> DataFrame:
@@ -87,6 +87,35 @@ FACT_EVENT = [
 ]
 
 
+# An event lacking one of these keeps its row, with the reason in ``reject_reason``.
+REQUIRED_KEYS = ("match_sk", "team_sk", "event_type_sk")
+NATURAL_KEYS = ["match_natural_id", "team_natural_id", "player_natural_id"]
+
+
+def event_keys(flat: DataFrame, match_dim: DataFrame, team_dim: DataFrame, player_dim: DataFrame) -> DataFrame:
+    """(match, team, player) as they occur together, with day and surrogate keys; those of unknown matches are left out.
+
+    A match of thousands of events has a few dozen such keys, and only they meet the versions of the dimensions.
+    """
+    matches = match_dim.select("match_natural_id", "match_sk", "match_date")
+    keys = flat.select(*NATURAL_KEYS).distinct().join(matches, "match_natural_id")
+    keys = temporal_lookup(keys, team_dim, ["team_natural_id"], "match_date", ["team_sk"])
+    keys = temporal_lookup(keys, player_dim, ["player_natural_id"], "match_date", ["player_sk"])
+    return keys.withColumn("date_id", date_key("match_date")).where(F.col("date_id").isNotNull()).drop("match_date")
+
+
+def _member(rows: DataFrame, dim: DataFrame, key: str, of: list[str]) -> DataFrame:
+    """Adds the hashed key of the columns ``of`` where the dimension holds it, else NULL."""
+    known = dim.select(F.col(key).alias("__known"))
+    hashed = rows.withColumn("__hash", hash_key(*of))
+    return hashed.join(known, F.col("__hash") == F.col("__known"), "left").withColumnRenamed("__known", key).drop("__hash")
+
+
+def unmatched(natural: Column, found: str) -> Column:
+    """How many rows have a natural key that the lookup did not find."""
+    return F.count_if(natural.isNotNull() & F.col(found).isNull())
+
+
 def fact_event(
     events: DataFrame,
     match_dim: DataFrame,
@@ -95,15 +124,25 @@ def fact_event(
     event_type_dim: DataFrame,
     play_pattern_dim: DataFrame,
     legacy_null_zone: bool = False,
+    loss: Observation | None = None,
 ) -> DataFrame:
-    """Events with surrogate keys. Events of unknown matches are left out; other unknown keys stay NULL."""
-    matches = match_dim.select("match_natural_id", "match_sk", "match_date")
-    facts = flat_events(events, legacy_null_zone).join(matches, "match_natural_id")
-    facts = temporal_lookup(facts, team_dim, ["team_natural_id"], "match_date", ["team_sk"])
-    facts = temporal_lookup(facts, player_dim, ["player_natural_id"], "match_date", ["player_sk"])
-    facts = null_safe_lookup(facts, event_type_dim, ["event_type", "outcome"], ["event_type_sk"])
-    facts = null_safe_lookup(
-        facts, play_pattern_dim.dropna(subset=["play_pattern_id"]), ["play_pattern_id"], ["play_pattern_sk"]
-    )
-    dated = facts.withColumn("date_id", date_key("match_date")).where(F.col("date_id").isNotNull())
-    return typed(dated, DECIMALS).select(*FACT_EVENT)
+    """Events with surrogate keys. Events of unknown matches are left out; other unknown keys stay NULL.
+
+    ``reject_reason`` names the required keys that are missing and the measurements that were too wide for their type, or is
+    NULL. Versions are looked up once for each (match, team, player) that occurs, so that events meet only equality joins.
+    ``loss`` receives the events and, for each lookup, those whose key it did not find, when the rows are first used.
+    """
+    flat = flat_events(events, legacy_null_zone)
+    keys = event_keys(flat, match_dim, team_dim, player_dim)
+    facts = null_safe_lookup(flat, keys, NATURAL_KEYS, ["date_id", "match_sk", "team_sk", "player_sk"])
+    facts = facts.where(F.col("date_id").isNotNull())
+    facts = _member(facts, event_type_dim, "event_type_sk", ["event_type", "outcome"])
+    facts = _member(facts, play_pattern_dim.dropna(subset=["play_pattern_id"]), "play_pattern_sk", ["play_pattern_id"])
+    if loss is not None:
+        natural = {"team": "team_natural_id", "player": "player_natural_id", "event_type": "event_type", "play_pattern": "play_pattern_id"}
+        lost = [unmatched(F.col(c), f"{name}_sk").alias(name) for name, c in natural.items()]
+        facts = facts.observe(loss, F.count("*").alias("rows"), *lost)
+    facts = facts.withColumns({f"__given_{c}": F.col(c).isNotNull() for c in DECIMALS})
+    rules = {key: F.col(key).isNotNull() for key in REQUIRED_KEYS}
+    rules |= {f"{c} too wide": ~F.col(f"__given_{c}") | F.col(c).isNotNull() for c in DECIMALS}
+    return tag_rejects(typed(facts, DECIMALS), rules).select(*FACT_EVENT, "reject_reason")

@@ -10,7 +10,7 @@ from matchlytics.sources import replace_table
 def build_marts(wh: Warehouse, scouting_metric: str = "xg_total") -> dict[str, int]:
     """Writes the match, scouting and strategy marts; returns the rows of each table."""
     players, teams, matches = wh.read("dim_player"), wh.read("dim_team"), wh.read("dim_match")
-    player_stats, team_stats = wh.read("fact_player_match_stats"), wh.read("fact_team_match_stats")
+    player_stats, team_stats = wh.accepted("fact_player_match_stats"), wh.accepted("fact_team_match_stats")
     seasons = wh.read("fact_player_season_stats")
     marts = {
         "match_phases": R.match_phases(wh.read("landed_events")),

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from matchlytics.functions import date_key, field, in_rect, match_result, rate
 from matchlytics.functions import values as V
-from matchlytics.operators import cond_counts, flatten, next_value, opponent_total, spans_played, temporal_lookup
+from matchlytics.operators import cond_counts, flatten, next_value, opponent_total, spans_played, tag_rejects, temporal_lookup
+from matchlytics.plans.facts import unmatched
 
 PLAYER_KEYS = ["match_natural_id", "team_natural_id", "player_natural_id"]
 # Wide enough for any sum of values below 1e18; totals are stored with three decimals.
@@ -17,10 +18,11 @@ RATIO = "decimal(18,2)"
 INDEX_BUCKET = 10_000
 
 
-def _measured(events: DataFrame) -> DataFrame:
+def _measured(events: DataFrame, more: dict[str, str] | None = None) -> DataFrame:
     return flatten(
         events,
         {
+            **(more or {}),
             "match_natural_id": F.col("match_id").cast("string"),
             "index": "index",
             "period": "period",
@@ -108,27 +110,73 @@ def expected_assists(events: DataFrame) -> DataFrame:
     return cond_counts(assists, PLAYER_KEYS, sums={"xa": ("next_xg", XG)})
 
 
-def player_measures(events: DataFrame) -> DataFrame:
-    """The counted measures per match, team and player."""
+def _player_counts() -> dict[str, Column]:
     a_pass, a_shot = is_a("Pass"), is_a("Shot")
     tackle = is_a("Duel") & (F.col("duel_type") == "Tackle")
-    return cond_counts(
-        _measured(events).where(F.col("player_natural_id").isNotNull()),
-        PLAYER_KEYS,
-        {
-            "total_passes": a_pass,
-            "accurate_passes": a_pass & F.col("pass_outcome").isNull(),
-            "total_shots": a_shot,
-            "goals": a_shot & (F.col("shot_outcome") == "Goal"),
-            "assists": F.col("goal_assist"),
-            "interceptions": is_a("Interception"),
-            "touches_in_box": in_rect("x", "y"),
-            "tackles_total": tackle,
-            "tackles_won": tackle & F.col("duel_outcome").isin(*V.TACKLE_WON),
-            "yellow_cards": F.col("card").isin(*V.BOOKED),
-            "red_cards": F.col("card").isin(*V.SENT_OFF),
-        },
-        {"xg": ("xg", XG)},
+    return {
+        "total_passes": a_pass,
+        "accurate_passes": a_pass & F.col("pass_outcome").isNull(),
+        "total_shots": a_shot,
+        "goals": a_shot & (F.col("shot_outcome") == "Goal"),
+        "assists": F.col("goal_assist"),
+        "interceptions": is_a("Interception"),
+        "touches_in_box": in_rect("x", "y"),
+        "tackles_total": tackle,
+        "tackles_won": tackle & F.col("duel_outcome").isin(*V.TACKLE_WON),
+        "yellow_cards": F.col("card").isin(*V.BOOKED),
+        "red_cards": F.col("card").isin(*V.SENT_OFF),
+    }
+
+
+def player_measures(events: DataFrame) -> DataFrame:
+    """The counted measures per match, team and player."""
+    return cond_counts(_measured(events).where(F.col("player_natural_id").isNotNull()), PLAYER_KEYS, _player_counts(), {"xg": ("xg", XG)})
+
+
+def player_totals(events: DataFrame) -> DataFrame:
+    """``player_measures`` and ``minutes_played`` of the players who started or came on and have events of their own.
+
+    One scan and one aggregation: an event counts for its own player, and a line-up or substitution also for those it brings
+    on. The state of a (match, team, player) holds counts, earliest entry and exit, start flag and latest minute; the match's
+    last minute is then the largest of these few rows.
+    """
+    minute, kind = F.col("minute"), F.col("type.name")
+    none = F.lit(None).cast("bigint")
+
+    def member(player: Column, own: bool, entry: Column = none, exit: Column = none, starts: int = 0) -> Column:
+        named = {"member": player.cast("string"), "own": F.lit(own), "entry_min": entry, "exit_min": exit, "starts": F.lit(starts)}
+        return F.struct(*[c.alias(n) for n, c in named.items()])
+
+    sent_off = F.col("bad_behaviour.card.name").isin(*V.SENT_OFF) | F.col("foul_committed.card.name").isin(*V.SENT_OFF)
+    leaves = F.when((kind == "Substitution") | sent_off, minute)
+    own = F.array(member(F.col("player.id"), True, exit=leaves))
+    starters = F.transform("tactics.lineup", lambda p: member(p["player"]["id"], False, entry=F.lit(0).cast("bigint"), starts=1))
+    comes_on = F.array(member(F.col("substitution.replacement.id"), False, entry=minute))
+    members = F.when((kind == "Starting XI") & F.col("tactics.lineup").isNotNull(), F.concat(own, starters)).when(kind == "Substitution", F.concat(own, comes_on)).otherwise(own)
+    measured = _measured(events.withColumn("__members", members), {"members": "__members"})
+    rows = measured.select(*[c for c in measured.columns if c != "members"], F.inline("members"))
+
+    mine = F.col("own")
+    totals = cond_counts(
+        rows,
+        ["match_natural_id", "team_natural_id", "member"],
+        {"own_events": mine, **{name: mine & c for name, c in _player_counts().items()}},
+        {"xg": (F.when(mine, F.col("xg")), XG)},
+        entry_min=F.min("entry_min"),
+        exit_min=F.min("exit_min"),
+        starts=F.max("starts"),
+        last_min=F.max("minute"),
+    )
+    in_match, one = Window.partitionBy("match_natural_id"), Window.partitionBy("match_natural_id", "member")
+    spans = totals.withColumn("last_min", F.max("last_min").over(in_match)).withColumns(
+        {"entry_min": F.min("entry_min").over(one), "exit_min": F.min("exit_min").over(one), "starts": F.max("starts").over(one)}
+    )
+    played = F.greatest(F.lit(0), F.coalesce("exit_min", "last_min") - F.col("entry_min")).cast("int")
+    return (
+        spans.where((F.col("own_events") > 0) & F.col("member").isNotNull() & F.col("entry_min").isNotNull())
+        .withColumn("minutes_played", played)
+        .withColumnRenamed("member", "player_natural_id")
+        .drop("own_events", "entry_min", "exit_min", "last_min")
     )
 
 
@@ -149,21 +197,28 @@ PLAYER_COUNTS = [
 ]
 
 
-def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, player_dim: DataFrame) -> DataFrame:
-    """One row per player and match with known player, team and day.
+def _observed_loss(stats: DataFrame, loss: Observation | None, lookups: dict[str, str]) -> DataFrame:
+    if loss is None:
+        return stats
+    return stats.observe(loss, F.count("*").alias("rows"), *[unmatched(F.col(c), f"{name}_sk").alias(name) for name, c in lookups.items()])
+
 
-    The events are aggregated to players first, so all joins run on the few rows of a match.
+def checked_player_stats(
+    events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, player_dim: DataFrame, loss: Observation | None = None
+) -> DataFrame:
+    """One row per player and match, those lacking player, team or day with the reason in ``reject_reason``.
+
+    The events are aggregated to players first, so all joins run on the few rows of a match. ``loss`` receives the rows and,
+    for each lookup, those whose key it did not find.
     """
-    on = ["match_natural_id", "player_natural_id"]
     stats = (
-        player_measures(events)
-        .join(minutes_played(events), on)
+        player_totals(events)
         .join(expected_assists(events), PLAYER_KEYS, "left")
         .join(match_dim.select("match_natural_id", "match_sk", "match_date"), "match_natural_id")
     )
     stats = temporal_lookup(stats, team_dim, ["team_natural_id"], "match_date", ["team_sk"])
     stats = temporal_lookup(stats, player_dim, ["player_natural_id"], "match_date", ["player_sk"])
-    return stats.select(
+    rows = _observed_loss(stats, loss, {"team": "team_natural_id", "player": "player_natural_id"}).select(
         date_key("match_date").alias("date_id"),
         "player_sk",
         "match_sk",
@@ -171,7 +226,18 @@ def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFr
         *[F.col(c).cast("int") for c in PLAYER_COUNTS],
         F.col("xg").cast(TOTAL).alias("xg_total"),
         F.coalesce("xa", F.lit(0)).cast(TOTAL).alias("xa_total"),
-    ).dropna(subset=["player_sk", "team_sk", "date_id"])
+    )
+    return tag_rejects(rows, {c: F.col(c).isNotNull() for c in ("player_sk", "team_sk", "date_id")})
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The rows without a reason to reject them, as they came."""
+    return checked.where(F.col("reject_reason").isNull()).drop("reject_reason")
+
+
+def player_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, player_dim: DataFrame) -> DataFrame:
+    """One row per player and match with known player, team and day."""
+    return accepted(checked_player_stats(events, match_dim, team_dim, player_dim))
 
 
 def team_measures(events: DataFrame) -> DataFrame:
@@ -197,19 +263,23 @@ def possession(own: Column | str, total: Column | str) -> Column:
     return F.when(field(total) > 0, rate(field(own).cast("double"), field(total).cast("double"), 100)).otherwise(50.0)
 
 
-def team_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame) -> DataFrame:
-    """One row per team and match: possession, pressing, xG and the result from the match."""
+def checked_team_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, loss: Observation | None = None) -> DataFrame:
+    """One row per team and match: possession, pressing, xG and the result from the match.
+
+    Those lacking a team or its opponent have the reason in ``reject_reason``; ``loss`` as for players.
+    """
     matches = match_dim.select(
         "match_natural_id", "match_sk", "match_date", "home_team_sk", "away_team_sk", "home_score", "away_score"
     )
     stats = team_measures(events).join(matches, "match_natural_id")
     stats = temporal_lookup(stats, team_dim, ["team_natural_id"], "match_date", ["team_sk"])
+    stats = _observed_loss(stats, loss, {"team": "team_natural_id"})
     home = F.coalesce(F.col("team_sk") == F.col("home_team_sk"), F.lit(False))
 
     def at_home(yes: str, no: str) -> Column:
         return F.when(home, F.col(yes)).otherwise(F.col(no))
 
-    return (
+    rows = (
         stats.select(
             date_key("match_date").alias("date_id"),
             "team_sk",
@@ -225,8 +295,13 @@ def team_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFram
             at_home("away_score", "home_score").alias("goals_conceded"),
         )
         .withColumn("result", match_result("goals_scored", "goals_conceded"))
-        .dropna(subset=["team_sk", "opponent_team_sk"])
     )
+    return tag_rejects(rows, {c: F.col(c).isNotNull() for c in ("team_sk", "opponent_team_sk")})
+
+
+def team_match_stats(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame) -> DataFrame:
+    """One row per team and match with known team and opponent."""
+    return accepted(checked_team_stats(events, match_dim, team_dim))
 
 
 def season_stats(player_match_stats: DataFrame, match_dim: DataFrame) -> DataFrame:

@@ -47,6 +47,21 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     return _write(df, path, "overwrite", partition_by, partitionOverwriteMode="dynamic")
 
 
+def clear_partitions(spark: SparkSession, path: str, parts: Sequence[tuple[str, object] | None]) -> int:
+    """Removes the partition folders whose leading columns have these values (None: any); returns how many there were.
+
+    For a partition that has no rows any more, which an overwrite of the partitions that occur leaves as it was.
+    """
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    folder = "/".join([path, *("*" if p is None else f"{p[0]}={escape(str(p[1]))}" for p in parts)])
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = files.globStatus(pattern)
+    for status in found or []:
+        files.delete(status.getPath(), True)
+    return len(found or [])
+
+
 def replace_table(df: DataFrame, path: str) -> int:
     """Replaces a whole table, which ``df`` may itself read.
 

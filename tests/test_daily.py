@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import shutil
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -52,9 +54,17 @@ def content(spark, out):
 
 
 @pytest.fixture(scope="module")
-def in_order(spark, root, tmp_path_factory):
-    out = tmp_path_factory.mktemp("in_order")
-    load(spark, root, out, [m["match_date"] for m in GAMES])
+def first_three(spark, root, tmp_path_factory):
+    out = tmp_path_factory.mktemp("first_three") / "out"
+    load(spark, root, out, [m["match_date"] for m in GAMES[:3]])
+    return out
+
+
+@pytest.fixture(scope="module")
+def in_order(spark, root, first_three, tmp_path_factory):
+    out = tmp_path_factory.mktemp("in_order") / "out"
+    shutil.copytree(first_three, out)
+    load(spark, root, out, [GAMES[3]["match_date"]])
     return out
 
 
@@ -108,3 +118,87 @@ def test_marts(spark, in_order):
     rows = build_marts(daily.Warehouse(spark, str(in_order)))
     assert rows["strategy_team_form"] == 8 and rows["strategy_head_to_head"] == 4
     assert all(n > 0 for n in rows.values())
+
+
+def without(folder, day, kinds=("matches", "lineups", "events")):
+    for kind in kinds:
+        shutil.rmtree(folder / kind / f"date={day}")
+
+
+def test_reload_with_fewer_matches_another_lineup_and_none(spark, root, first_three, tmp_path):
+    """First a wrong 05-13: one match too many, another manager, no transfer. Then the right one, then none."""
+    raw, out, day = tmp_path / "raw", tmp_path / "out", "2018-05-13"
+    shutil.copytree(root, raw)
+    shutil.copytree(first_three, out)
+    without(raw, day)
+    wrong = L.match(2, day, 3, 1, (0, 2), ("Z", "A"))
+    L.write(raw, wrong, [L.listed(2, 3, SQUADS[3]), L.listed(2, 1, SQUADS[1])], L.played(wrong, SQUADS))
+    extra = L.match(9, day, 4, 2, (3, 0), ("W", "Y"), season="Cup 2018")
+    squads = {**SQUADS, 4: [41, 42, 43, 21]}
+    rows = L.played(extra, squads)
+    rows[-1] |= {"type": {"id": 99, "name": "Own Goal For"}, "play_pattern": {"id": 77, "name": "From Nowhere"}}
+    rows[-2] |= {"play_pattern": {"id": 1, "name": "A Name Before All Others"}}
+    L.write(raw, extra, [L.listed(9, t, squads[t]) for t in (4, 2)], rows)
+    load(spark, str(raw), out, [day])
+    bad = content(spark, out)
+    assert len(bad["dim_match"]) == 4 and any("Own Goal For" in r for r in bad["dim_event_type"])
+    assert any("A Name Before" in r for r in bad["dim_play_pattern"])
+
+    without(raw, day)
+    for kind in ("matches", "lineups", "events"):
+        shutil.copytree(f"{root}/{kind}/date={day}", raw / kind / f"date={day}")
+    load(spark, str(raw), out, [day])
+    got, want = content(spark, out), content(spark, first_three)
+    for name in TABLES:
+        assert got[name] == want[name], name
+
+    without(raw, day)
+    load(spark, str(raw), out, [day])
+    fresh = tmp_path / "fresh"
+    load(spark, str(raw), fresh, [m["match_date"] for m in (GAMES[0], GAMES[2])])
+    got, want = content(spark, out), content(spark, fresh)
+    for name in TABLES:
+        assert got[name] == want[name], name
+    assert daily.run(spark, str(raw), str(out), day) == {}
+
+
+def test_the_only_day_reloaded_with_none(spark, root, tmp_path):
+    raw, out, day = tmp_path / "raw", tmp_path / "out", "2018-05-20"
+    shutil.copytree(root, raw)
+    load(spark, str(raw), out, [day])
+    without(raw, day)
+    assert set(load(spark, str(raw), out, [day]).values()) == {0}
+    for name in TABLES:
+        if name.startswith("fact"):
+            assert not list((out / name).glob("**/*.parquet"))
+        elif name != "dim_location":
+            assert read_table(spark, f"{out}/{name}").count() == 0, name
+
+
+def test_a_later_day_reads_no_history(spark, root, in_order, first_three, tmp_path):
+    """The landed documents of the days before may be gone; versions, keys and facts go on from the tables."""
+    out = tmp_path / "out"
+    shutil.copytree(first_three, out)
+    for kind in ("matches", "lineups", "events"):
+        for m in GAMES[:3]:
+            shutil.rmtree(out / f"landed_{kind}" / f"date={m['match_date']}")
+    load(spark, root, out, [GAMES[3]["match_date"]])
+    got, want = content(spark, out), content(spark, in_order)
+    for name in TABLES:
+        assert got[name] == want[name], name
+
+
+def test_birth_years_stay_through_later_loads(spark, root, first_three, tmp_path):
+    out = tmp_path / "out"
+    shutil.copytree(first_three, out)
+    wh = daily.Warehouse(spark, str(out))
+    names = sorted({r.player_name for r in wh.read("dim_player").collect()})[:3]
+    people = spark.createDataFrame([(n, 1990) for n in names], "name string, birth_year int")
+    assert daily.enrich(wh, people) >= 3
+    known = {r.player_natural_id for r in wh.read("dim_player").where("birth_year = 1990").collect()}
+    # Whoever has a year keeps it, also in versions that a reload makes anew.
+    assert daily.enrich(wh, people.withColumn("birth_year", F.lit(1980))) >= 3
+    load(spark, root, out, ["2018-05-13", GAMES[3]["match_date"]])
+    years = wh.read("dim_player").select("player_natural_id", "birth_year").collect()
+    assert {r.player_natural_id for r in years if r.birth_year == 1990} == known
+    assert all((r.birth_year == 1990) == (r.player_natural_id in known) for r in years)

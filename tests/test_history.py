@@ -14,6 +14,7 @@ from matchlytics.operators import (
     latest,
     null_safe_lookup,
     scd2,
+    scd2_day,
     scd2_merge,
     temporal_lookup,
     upsert,
@@ -182,3 +183,22 @@ def test_join_loss_with_null_keys(spark):
     df = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     dim = spark.createDataFrame([(1,), (1,)], "id int")
     assert join_loss(df, {"d": (dim, {"k": "id"})}).collect() == [("d", 4, 2, 3, 2)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_a_day_replaced_equals_a_rebuild(spark, seed):
+    """Days come, change and go in any order; only the day itself and what follows it are observed."""
+    rng = random.Random(seed)
+    days: dict[int, list] = {}
+    existing = scd2(observed(spark, []), **ARGS)
+    for _ in range(8):
+        at = rng.randrange(1, 9)
+        before = days.get(at, [])
+        days[at] = [(k, at, rng.choice(["a", "b", None]), rng.randrange(4)) for k in rng.sample("xyz", rng.randrange(4))]
+        touched = observed(spark, before + days[at]).select("k")
+        after = observed(spark, [r for d, own in days.items() if d > at for r in own])
+        found = scd2_day(existing, str(day(at)), touched, observed(spark, days[at]), after, **ARGS)
+        want = scd2(observed(spark, [r for own in days.values() for r in own]), **ARGS)
+        rows = found.select(*want.columns).collect()
+        assert sorted(map(str, rows)) == sorted(map(str, want.collect()))
+        existing = spark.createDataFrame(rows, want.schema)

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
+import re
 from datetime import date
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from matchlytics.operators import intervals_played
 from matchlytics.plans import dimensions as D
@@ -170,11 +171,65 @@ def test_fact_event(tables):
     for key in ("match_sk", "team_sk", "event_type_sk", "play_pattern_sk"):
         assert facts.where(F.col(key).isNull()).count() == 0
     assert facts.where("player_sk is null").count() == 6  # the six Starting XI
-    goal = facts.where("shot_xg = 0.375").first()
+    goal = facts.where("shot_xg = 0.375 and date_id = 20180506").first()
     assert (goal.location_id, goal.end_location_id, goal.date_id) == (19, 19, 20180506)
     assert str(goal.event_relative_time) == "1200.000" and goal.under_pressure is None
     unknown = fact_event(tables["events"], tables["match_dim"].where("match_natural_id <> '1'"), tables["teams"], tables["players"], types, patterns)
     assert unknown.select("date_id").distinct().count() == 2
+    assert facts.where("reject_reason is not null").count() == 0
+
+
+def test_fact_event_names_what_is_missing_or_too_wide(tables, spark):
+    t = tables
+    types, patterns = D.event_type_dim(t["events"]).where("event_type <> 'Shot'"), D.play_pattern_dim(t["events"])
+    rows = [
+        {"match_id": 1, "id": "wide", "type": L.named(1, "Pass"), "team": L.named(1), "pass": {"length": 123456.0, "angle": 0.5}, "location": [1e9, 2.0]},
+        {"match_id": 1, "id": "team", "type": L.named(1, "Pass"), "team": L.named(77), "player": L.named(78)},
+        {"match_id": 1, "id": "type", "type": L.named(1, "Shot"), "player": L.named(13)},
+    ]
+    loss = Observation()
+    facts = fact_event(L.events(spark, rows), t["match_dim"], t["teams"], t["players"], types, patterns, loss=loss)
+    got = {r.event_id: r for r in facts.collect()}
+    assert got["wide"].reject_reason == "location_x too wide,pass_length too wide" and got["wide"].location_x is None
+    assert got["team"].reject_reason == "team_sk" and got["type"].reject_reason == "team_sk,event_type_sk"
+    assert loss.get == {"rows": 3, "team": 1, "player": 1, "event_type": 1, "play_pattern": 0}
+
+
+def stored(df, path):
+    df.write.mode("overwrite").parquet(str(path))
+    return df.sparkSession.read.parquet(str(path))
+
+
+def scans_of(df, path):
+    return str(df._jdf.queryExecution().executedPlan()).count(f"{path}]")
+
+
+def test_versions_are_looked_up_above_an_aggregate_and_few_scans(tables, tmp_path):
+    """The fact: once for the keys, once for the events. Statistics: one aggregation, and two scans for the order of events."""
+    t = {k: stored(tables[k], tmp_path / k) for k in ("events", "match_dim", "teams", "players")}
+    dims = t["match_dim"], t["teams"], t["players"]
+    facts = fact_event(t["events"], *dims, stored(D.event_type_dim(t["events"]), tmp_path / "types"), stored(D.play_pattern_dim(t["events"]), tmp_path / "patterns"))
+    player = S.player_match_stats(t["events"], *dims)
+    for df, scans, joins in ((facts, 2, 2), (player, 3, 2)):
+        assert scans_of(df, tmp_path / "events") == scans
+        text = str(df._jdf.queryExecution().optimizedPlan())
+        temporal = [m.end() for m in re.finditer(r"Join .*>=.*", text)]
+        assert len(temporal) == joins and all("Aggregate [" in text[a : text.index("Relation", a)] for a in temporal)
+
+
+def test_statistics_without_a_dimension_row_are_rejected_with_their_reason(tables):
+    t = tables
+    players = t["players"].where("player_natural_id <> '13'")
+    loss = Observation()
+    checked = S.checked_player_stats(t["events"], t["match_dim"], t["teams"].where("team_natural_id <> '2'"), players, loss).collect()
+    reasons = sorted(r.reject_reason for r in checked if r.reject_reason)
+    assert len(checked) == 18 and set(reasons) == {"player_sk", "team_sk"}
+    assert loss.get == {"rows": 18, "team": reasons.count("team_sk"), "player": reasons.count("player_sk")}
+    kept = S.player_match_stats(t["events"], t["match_dim"], t["teams"].where("team_natural_id <> '2'"), players)
+    assert kept.count() == 18 - len(reasons) and "reject_reason" not in kept.columns
+    teams = S.checked_team_stats(t["events"], t["match_dim"], t["teams"].where("team_natural_id <> '2'")).collect()
+    assert sorted(str(r.reject_reason) for r in teams).count("team_sk") == 2 and len(teams) == 6
+    assert S.team_match_stats(t["events"], t["match_dim"], t["teams"].where("team_natural_id <> '2'")).count() == 4
 
 
 def test_player_match_stats(tables):
