@@ -252,6 +252,10 @@ def q26_possession_adjusted(t):
     return _teams(t).select("week", "side", F.round(adjusted, 4).alias("padj_actions_90"))
 
 
+def _order_measures():
+    return {"orders": ("count", F.lit(1)), "total": ("sum", F.col("o_totalprice").cast("decimal(18,2)"))}
+
+
 @query("""
     SELECT CAST(3 - grouping(year(o_orderdate)) - grouping(month(o_orderdate)) - grouping(o_orderstatus) AS INTEGER) AS level,
            CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month, o_orderstatus,
@@ -261,7 +265,8 @@ def q27_rollup(t):
     rows = t.orders.select(
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"), "o_orderstatus", "o_totalprice"
     )
-    return rollup_levels(rows, ["year", "month", "o_orderstatus"], {"orders": F.count("*"), "total": total("o_totalprice")})
+    levels = rollup_levels(rows, ["year", "month", "o_orderstatus"], _order_measures())
+    return levels.withColumn("total", F.col("total").cast("double"))
 
 
 @query("""
@@ -298,8 +303,7 @@ def q29_pivot(t):
            CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM orders GROUP BY CUBE (o_orderpriority, o_orderstatus)""")
 def q30_cube(t):
-    measures = {"orders": F.count("*"), "total": total("o_totalprice")}
-    return cube_levels(t.orders, ["o_orderpriority", "o_orderstatus"], measures)
+    return cube_levels(t.orders, ["o_orderpriority", "o_orderstatus"], _order_measures()).withColumn("total", F.col("total").cast("double"))
 
 
 @query("""

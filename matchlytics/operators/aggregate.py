@@ -42,15 +42,37 @@ def distinct_by_key(df: DataFrame, key: str, value: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
 
 
-def rollup_levels(df: DataFrame, dims: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Measures at every prefix of the hierarchy; ``level`` counts the dimensions that are kept."""
+# How partial results of a finer level make up those of a coarser one.
+MERGES = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+
+
+def _levels(df: DataFrame, dims: Sequence[str], measures: Mapping[str, tuple[str, Column | str]], kind: str, level: Column) -> DataFrame:
+    """Rows are aggregated once, to the finest level; only its groups are multiplied by the number of levels."""
+    parts: dict[str, Column] = {}
+    merged: list[Column] = []
+    for name, (how, c) in measures.items():
+        if how == "avg":
+            parts |= {f"__sum_{name}": F.sum(c), f"__count_{name}": F.count(c)}
+            merged.append(F.try_divide(F.sum(f"__sum_{name}"), F.sum(f"__count_{name}")).alias(name))
+        else:
+            parts[f"__{name}"] = getattr(F, how)(c)
+            merged.append(MERGES[how](f"__{name}").alias(name))
+    finest = df.groupBy(*dims).agg(*[c.alias(n) for n, c in parts.items()])
+    return getattr(finest, kind)(*dims).agg(level, *merged)
+
+
+def rollup_levels(df: DataFrame, dims: Sequence[str], measures: Mapping[str, tuple[str, Column | str]]) -> DataFrame:
+    """Measures at every prefix of the hierarchy; ``level`` counts the dimensions that are kept.
+
+    A measure is (how, column), ``how`` being sum, count, min, max or avg.
+    """
     kept = len(dims) - sum(F.grouping(d).cast("int") for d in dims)
-    return df.rollup(*dims).agg(kept.alias("level"), *[m.alias(n) for n, m in measures.items()])
+    return _levels(df, dims, measures, "rollup", kept.alias("level"))
 
 
-def cube_levels(df: DataFrame, dims: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
-    """Measures for every subset of the dimensions; ``grouping_id`` has a bit per dropped dimension."""
-    return df.cube(*dims).agg(F.grouping_id().alias("grouping_id"), *[m.alias(n) for n, m in measures.items()])
+def cube_levels(df: DataFrame, dims: Sequence[str], measures: Mapping[str, tuple[str, Column | str]]) -> DataFrame:
+    """Measures, as for ``rollup_levels``, for every subset of the dimensions; ``grouping_id`` has a bit per dropped dimension."""
+    return _levels(df, dims, measures, "cube", F.grouping_id().alias("grouping_id"))
 
 
 def pivot_table(

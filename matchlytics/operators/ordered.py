@@ -9,6 +9,7 @@ The result is the same as without buckets.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -157,43 +158,46 @@ def recent(
 def league_position(
     df: DataFrame, group: Sequence[str], value: str, bucket: Column | None = None
 ) -> DataFrame:
-    """Adds ``rank`` (1 = highest value) and ``percentile`` (0 = highest, 1 = lowest) within the group."""
+    """Adds ``rank`` (1 = highest value) and ``percentile`` (0 = highest, 1 = lowest) within the group.
+
+    Rows are counted per value first, so however many share one, they are a single row in the windows; the rank then joins
+    back by (group, value), a key whose rows Spark can split. ``bucket``, which must be the same for equal values, bounds the
+    distinct values that are sorted together.
+    """
     group = list(group)
-    falling = F.col(value).desc_nulls_last()
-    if bucket is None:
-        w = Window.partitionBy(*group).orderBy(falling)
-        return df.withColumn("rank", F.rank().over(w)).withColumn("percentile", F.percent_rank().over(w))
-
-    rows = df.withColumn("__bucket", bucket).withColumn("__edge", F.lit(0))
-    above = (
-        Window.partitionBy(*group)
-        .orderBy(F.col("__bucket").desc_nulls_last())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = (
-        rows.groupBy(*group, "__bucket")
+    counted = (
+        df.groupBy(*group, F.col(value).alias("__value"), (F.lit(0) if bucket is None else bucket).alias("__bucket"))
         .agg(F.count("*").alias("__rows"))
-        .select(
-            *group,
-            "__bucket",
-            F.lit(-1).alias("__edge"),
-            F.coalesce(F.sum("__rows").over(above), F.lit(0)).alias("__above"),
-            F.sum("__rows").over(Window.partitionBy(*group)).alias("__total"),
-        )
     )
-    w = Window.partitionBy(*group, "__bucket").orderBy("__edge", falling)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The carried row stands first in its bucket, hence rank 2 for the best row after it.
-    rank = F.rank().over(w) - 1 + F.first("__above", ignorenulls=True).over(upto)
-    total = F.first("__total", ignorenulls=True).over(upto)
-    return (
-        rows.unionByName(carried, allowMissingColumns=True)
-        .withColumn("rank", rank)
-        .withColumn("__total", total)
-        .where(F.col("__edge") == 0)
-        .withColumn("percentile", F.coalesce(F.try_divide(F.col("rank") - 1, F.col("__total") - 1), F.lit(0.0)))
-        .drop("__bucket", "__edge", "__above", "__total")
+    higher = (Window.unboundedPreceding, -1)
+    falling = Window.partitionBy(*group, "__bucket").orderBy(F.col("__value").desc_nulls_last())
+    above, total = F.sum("__rows").over(falling.rowsBetween(*higher)), F.sum("__rows").over(Window.partitionBy(*group))
+    if bucket is None:
+        ranked = counted.withColumn("__above", F.coalesce(above, F.lit(0))).withColumn("__total", total)
+    else:
+        # One row a bucket carries what lies above it; it stands first among the bucket's values.
+        over = Window.partitionBy(*group).orderBy(F.col("__bucket").desc_nulls_last()).rowsBetween(*higher)
+        carried = counted.groupBy(*group, "__bucket").agg(F.sum("__rows").alias("__rows")).select(
+            *group, "__bucket", F.lit(0).alias("__first"), F.coalesce(F.sum("__rows").over(over), F.lit(0)).alias("__rows"), total.alias("__total")
+        )
+        lined_up = Window.partitionBy(*group, "__bucket").orderBy("__first", F.col("__value").desc_nulls_last())
+        ranked = (
+            counted.withColumn("__first", F.lit(1))
+            .unionByName(carried, allowMissingColumns=True)
+            .withColumn("__above", F.sum("__rows").over(lined_up.rowsBetween(*higher)))
+            .withColumn("__total", F.first("__total", ignorenulls=True).over(lined_up))
+            .where(F.col("__first") == 1)
+        )
+    kind = "int" if bucket is None else "bigint"
+    ranked = ranked.select(
+        *[F.col(c).alias(f"__of_{i}") for i, c in enumerate(group)],
+        "__value",
+        (F.col("__above") + 1).cast(kind).alias("rank"),
+        F.coalesce(F.try_divide(F.col("__above"), F.col("__total") - 1), F.lit(0.0)).alias("percentile"),
     )
+    on = [F.col(c).eqNullSafe(F.col(f"__of_{i}")) for i, c in enumerate(group)] + [F.col(value).eqNullSafe(F.col("__value"))]
+    kept = [F.col(f"`{c}`") for c in df.columns]
+    return df.join(ranked, reduce(Column.__and__, on)).select(*kept, "rank", "percentile")
 
 
 def top_k(

@@ -34,7 +34,7 @@ def match_phases(events: DataFrame) -> DataFrame:
         {"pressures": is_a("Pressure"), "recoveries": is_a("Ball Recovery")},
         {"xg_for": ("xg", XG), "ball_time": ("duration", "decimal(18,6)", V.MAX_POSSESSION_DURATION)},
     )
-    sums = {c: F.sum(c) for c in ("pressures", "recoveries", "xg_for", "ball_time")}
+    sums = {c: ("sum", c) for c in ("pressures", "recoveries", "xg_for", "ball_time")}
     levels = rollup_levels(per_period, ["match_natural_id", "team_natural_id", "period"], sums)
     sides = opponent_total(levels.where(F.col("level") >= 2), ["match_natural_id", "level", "period"], ["xg_for", "ball_time"])
     return sides.select(

@@ -87,6 +87,25 @@ def test_single_row_group(spark):
         assert league_position(df, ["k"], "v", bucket).collect() == [("a", 1, 1, 0.0)]
 
 
+@pytest.mark.parametrize("bucket", [None, 10])
+def test_league_position_with_nine_in_ten_tied(spark, bucket):
+    """Ties are one row in the windows: what is sorted has as many rows as distinct values."""
+    rng = random.Random(5)
+    rows = [("a" if i % 3 else "b", 50 if rng.random() < 0.9 else rng.choice([None, *range(100)]), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v int, id int")
+    got = league_position(df, ["k"], "v", None if bucket is None else F.floor(F.col("v") / bucket))
+    found = {r.id: (r["rank"], r.percentile) for r in got.collect()}
+    for k in "ab":
+        peers = sorted([-1 if v is None else v for g, v, _ in rows if g == k], reverse=True)
+        first = {v: i for i, v in reversed(list(enumerate(peers)))}
+        for g, v, i in rows:
+            if g == k:
+                above = first[-1 if v is None else v]
+                assert found[i] == (above + 1, pytest.approx(above / (len(peers) - 1)))
+    plan = str(got._jdf.queryExecution().optimizedPlan())
+    assert plan.index("Window [") < plan.rindex("Aggregate [")
+
+
 def test_top_k(df, groups):
     got = top_k(df, P, [F.col("v").desc_nulls_last(), "id"], 3)
     for k, g in groups.items():

@@ -94,6 +94,13 @@ def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch, name):
     assert queries()[name](spark, FOLDER).columns
 
 
+@pytest.mark.parametrize("name", ["q27_rollup", "q30_cube"])
+def test_levels_multiply_groups_and_not_rows(spark, name):
+    text = plan(queries()[name](spark, FOLDER))
+    below = text[text.index("Expand") :]
+    assert text.count("FileScan") == 1 and "HashAggregate" in below and "partial_sum" in below
+
+
 def test_top_k_is_cut_before_the_shuffle(spark):
     orders = spark.read.parquet(f"{FOLDER}/orders.parquet")
     text = plan(top_k(orders, ["o_custkey"], [F.col("o_totalprice").desc()], 3))
