@@ -1,7 +1,8 @@
 """The match plans on documents that Spark derives from the ``events`` table.
 
 A day is a match between team 1 and team 2, a user a player, and each row an event of the raw schema: clicks are passes,
-purchases shots, views duels, sign-ups starting line-ups and errors fouls.
+purchases shots, views duels, pressures, recoveries and interceptions, sign-ups starting line-ups and substitutions (by the
+next user of the team), errors fouls.
 """
 
 from __future__ import annotations
@@ -30,7 +31,10 @@ def events(t):
     rows = t.events.withColumn("k", F.from_json("props", "k bigint")["k"])
     named_user = F.struct(user.alias("id"), F.concat(F.lit("U"), user).alias("name"))
     kinds = {"click": "Pass", "purchase": "Shot", "view": "Duel", "signup": "Starting XI", "error": "Foul Committed"}
+    special = {("view", 0): "Pressure", ("view", 1): "Ball Recovery", ("view", 2): "Interception", ("signup", 0): "Substitution"}
     kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
+    for (event_type, digit), name in special.items():
+        kind = F.when((F.col("event_type") == event_type) & (k % 10 == digit), name).otherwise(kind)
     pattern = F.floor(k / 25)
     point = F.array(F.least(v * 1.5, F.lit(120.0)), k * 0.8)
     card = F.when(v > 200, "Red Card").when(v > 100, "Yellow Card").otherwise(no_name)
@@ -68,14 +72,13 @@ def events(t):
         ).alias("shot"),
         F.struct(nowhere.alias("end_location")).alias("carry"),
         F.struct(nowhere.alias("end_location")).alias("goalkeeper"),
-        _of(
-            "view",
-            _named(F.when(v > 5, "Tackle")).alias("type"),
-            _named(F.when(v > 50, "Won").otherwise("Lost")).alias("outcome"),
+        F.when(
+            kind == "Duel",
+            F.struct(_named(F.when(v > 5, "Tackle")).alias("type"), _named(F.when(v > 50, "Won").otherwise("Lost")).alias("outcome")),
         ).alias("duel"),
-        F.struct(_named(no_name).alias("replacement")).alias("substitution"),
-        _of(
-            "signup", (pattern + 400).alias("formation"), F.array(F.struct(named_user.alias("player"))).alias("lineup")
+        F.when(kind == "Substitution", F.struct(F.struct((user + 2).alias("id"), no_name.alias("name")).alias("replacement"))).alias("substitution"),
+        F.when(
+            kind == "Starting XI", F.struct((pattern + 400).alias("formation"), F.array(F.struct(named_user.alias("player"))).alias("lineup"))
         ).alias("tactics"),
         F.struct(_named(no_name).alias("card")).alias("bad_behaviour"),
         _of("error", _named(card).alias("card")).alias("foul_committed"),
@@ -138,10 +141,11 @@ def lineups(t):
 
 class Star:
     def __init__(self, t):
+        # The dimensions are tables in a warehouse; here they are cached, as each plan meets them several times.
         self.events, self.matches = events(t), matches(t)
-        self.teams = D.team_dim(self.matches)
-        self.players = D.player_dim(lineups(t), self.matches)
-        self.match_dim = D.match_dim(self.matches, self.teams)
+        self.teams = D.team_dim(self.matches).persist()
+        self.players = D.player_dim(lineups(t), self.matches).persist()
+        self.match_dim = D.match_dim(self.matches, self.teams).persist()
 
     def player_stats(self):
         return S.player_match_stats(self.events, self.match_dim, self.teams, self.players)
@@ -152,7 +156,10 @@ class Star:
 
 BASE_SQL = """
     e AS (SELECT CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS date_id, CAST(ts AS DATE) AS day, event_id AS idx, (user_id & 1) + 1 AS team,
-                 user_id AS player, event_type AS kind, value AS v, CAST(json_extract(props, '$.k') AS BIGINT) AS k, ts,
+                 user_id AS player, value AS v, CAST(json_extract(props, '$.k') AS BIGINT) AS k, ts,
+                 CASE WHEN event_type = 'view' AND k % 10 = 0 THEN 'pressure' WHEN event_type = 'view' AND k % 10 = 1 THEN 'recovery'
+                      WHEN event_type = 'view' AND k % 10 = 2 THEN 'interception' WHEN event_type = 'signup' AND k % 10 = 0 THEN 'substitution'
+                      ELSE event_type END AS kind,
                  CASE WHEN hour(ts) < 12 THEN 1 ELSE 2 END AS period, hour(ts) * 60 + minute(ts) AS minute FROM events),
     days AS (SELECT day, date_id, count(*) FILTER (kind = 'purchase' AND v > 100 AND team = 1) AS home_score,
                     count(*) FILTER (kind = 'purchase' AND v > 100 AND team = 2) AS away_score FROM e GROUP BY ALL),
@@ -164,9 +171,9 @@ BASE_SQL = """
     games AS (SELECT d.*, md5(concat_ws('~', coalesce(length(CAST(date_id AS VARCHAR)) || ':' || CAST(date_id AS VARCHAR), '-'))) AS match_sk, h.team_sk AS home_sk, a.team_sk AS away_sk FROM days d
               JOIN teams h ON h.team = 1 AND day BETWEEN h.f AND h.u JOIN teams a ON a.team = 2 AND day BETWEEN a.f AND a.u)"""
 TEAM_STATS_SQL = """
-    tm AS (SELECT date_id, team, count(*) FILTER (kind = 'click') AS passes, count(*) FILTER (kind IN ('view', 'error')) AS actions,
+    tm AS (SELECT date_id, team, count(*) FILTER (kind = 'click') AS passes, count(*) FILTER (kind IN ('view', 'error', 'pressure', 'interception')) AS actions,
                   count(*) FILTER (kind = 'click' AND k * 1.2::DOUBLE >= 40) AS passes_high,
-                  count(*) FILTER (kind IN ('view', 'error') AND k * 1.2::DOUBLE >= 40) AS actions_high,
+                  count(*) FILTER (kind IN ('view', 'error', 'pressure', 'interception') AND k * 1.2::DOUBLE >= 40) AS actions_high,
                   sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg,
                   sum(CAST(v AS DECIMAL(18,6))) AS ball FROM e GROUP BY ALL),
     ts AS (SELECT date_id, g.match_sk, tm.team, CASE WHEN team = 1 THEN home_sk ELSE away_sk END AS team_sk,
@@ -186,7 +193,12 @@ PLAYER_STATS_SQL = """
     xa AS (SELECT date_id, player, sum(CAST(next_v * 0.0013579::DOUBLE AS DECIMAL(18,10))) AS xa FROM nx
            WHERE kind = 'click' AND next_kind = 'purchase' AND team = next_team AND period = next_period GROUP BY ALL),
     ends AS (SELECT date_id, max(minute) AS end_min FROM e GROUP BY ALL),
-    pm AS (SELECT date_id, team, player, count(*) FILTER (kind = 'signup') AS listed, min(minute) FILTER (kind = 'error' AND v > 200) AS off,
+    mv AS (SELECT date_id, player, 0 AS entry_min, NULL AS exit_min, 1 AS starts FROM e WHERE kind = 'signup'
+           UNION ALL SELECT date_id, player + 2, minute, NULL, 0 FROM e WHERE kind = 'substitution'
+           UNION ALL SELECT date_id, player, NULL, minute, 0 FROM e WHERE kind = 'substitution' OR (kind = 'error' AND v > 200)),
+    sp AS (SELECT date_id, player, min(entry_min) AS entry_min, min(exit_min) AS exit_min, max(starts) AS starts FROM mv
+           GROUP BY ALL HAVING min(entry_min) IS NOT NULL),
+    pm AS (SELECT date_id, team, player, count(*) FILTER (kind = 'interception') AS interceptions,
                   count(*) FILTER (kind = 'click') AS total_passes, count(*) FILTER (kind = 'click' AND v >= 20) AS accurate_passes,
                   count(*) FILTER (kind = 'purchase') AS total_shots, count(*) FILTER (kind = 'purchase' AND v > 100) AS goals,
                   count(*) FILTER (kind = 'click' AND v > 100) AS assists,
@@ -194,16 +206,15 @@ PLAYER_STATS_SQL = """
                   count(*) FILTER (kind = 'view' AND v > 5) AS tackles_total, count(*) FILTER (kind = 'view' AND v > 50) AS tackles_won,
                   count(*) FILTER (kind = 'error' AND v > 100 AND v <= 200) AS yellow_cards, count(*) FILTER (kind = 'error' AND v > 200) AS red_cards,
                   sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg FROM e GROUP BY ALL),
-    pstats AS (SELECT pm.date_id, p.player_sk, g.match_sk, t.team_sk, CAST(coalesce(off, end_min) AS INTEGER) AS minutes_played,
+    pstats AS (SELECT pm.date_id, p.player_sk, g.match_sk, t.team_sk, CAST(greatest(0, coalesce(exit_min, end_min) - entry_min) AS INTEGER) AS minutes_played,
                   CAST(total_passes AS INTEGER) AS total_passes, CAST(accurate_passes AS INTEGER) AS accurate_passes,
                   CAST(total_shots AS INTEGER) AS total_shots, CAST(goals AS INTEGER) AS goals, CAST(assists AS INTEGER) AS assists,
-                  CAST(0 AS INTEGER) AS interceptions, CAST(touches_in_box AS INTEGER) AS touches_in_box,
-                  CAST(tackles_total AS INTEGER) AS tackles_total, CAST(tackles_won AS INTEGER) AS tackles_won, CAST(1 AS INTEGER) AS starts,
+                  CAST(interceptions AS INTEGER) AS interceptions, CAST(touches_in_box AS INTEGER) AS touches_in_box,
+                  CAST(tackles_total AS INTEGER) AS tackles_total, CAST(tackles_won AS INTEGER) AS tackles_won, CAST(starts AS INTEGER) AS starts,
                   CAST(yellow_cards AS INTEGER) AS yellow_cards, CAST(red_cards AS INTEGER) AS red_cards,
                   CAST(xg AS DECIMAL(18,3)) AS xg_total, CAST(coalesce(xa, 0) AS DECIMAL(18,3)) AS xa_total
-           FROM pm JOIN ends USING (date_id) JOIN games g USING (date_id) JOIN players p USING (player)
-                JOIN teams t ON t.team = pm.team AND g.day BETWEEN t.f AND t.u LEFT JOIN xa USING (date_id, player)
-           WHERE listed > 0)"""
+           FROM pm JOIN sp USING (date_id, player) JOIN ends USING (date_id) JOIN games g USING (date_id) JOIN players p USING (player)
+                JOIN teams t ON t.team = pm.team AND g.day BETWEEN t.f AND t.u LEFT JOIN xa USING (date_id, player))"""
 
 
 def doubles(df, *columns):
@@ -226,11 +237,12 @@ def q60_team_dimension(t):
     SELECT player_sk, CAST(player AS VARCHAR) AS player_natural_id, 'U' || player AS player_name,
            CASE WHEN team = 1 THEN 'Forward' ELSE 'Unknown' END AS position_group,
            CASE WHEN team = 1 THEN 'Left Center Forward' END AS specific_position, 'Team ' || team AS team_name, 'Spain' AS nationality,
-           strftime(f, '%Y-%m-%d') AS effective_from, TRUE AS is_current
+           strftime(f, '%Y-%m-%d') AS effective_from, TRUE AS is_current, 'U' || player AS kaggle_name, CAST(NULL AS INTEGER) AS birth_year,
+           '9999-12-31' AS effective_to, CAST(team AS BIGINT) AS team_id
     FROM players""")
 def q61_player_dimension(t):
-    versions = D.player_dim(lineups(t), matches(t)).withColumn("effective_from", text("effective_from"))
-    return versions.drop("kaggle_name", "birth_year", "effective_to", "team_id")
+    versions = D.player_dim(lineups(t), matches(t))
+    return versions.withColumns({c: text(c) for c in ("effective_from", "effective_to")})
 
 
 @query(f"""
@@ -262,7 +274,8 @@ def _zone_sql(x, y):
                  CASE kind WHEN 'click' THEN least(v * 1.5, 120.0::DOUBLE) WHEN 'purchase' THEN 120.0::DOUBLE END AS ex,
                  CASE kind WHEN 'click' THEN k * 0.8::DOUBLE WHEN 'purchase' THEN 40.0::DOUBLE END AS ey,
                  CASE kind WHEN 'click' THEN 'Pass' WHEN 'purchase' THEN 'Shot' WHEN 'view' THEN 'Duel' WHEN 'signup' THEN 'Starting XI'
-                           ELSE 'Foul Committed' END AS type,
+                           WHEN 'pressure' THEN 'Pressure' WHEN 'recovery' THEN 'Ball Recovery' WHEN 'interception' THEN 'Interception'
+                           WHEN 'substitution' THEN 'Substitution' ELSE 'Foul Committed' END AS type,
                  CASE kind WHEN 'click' THEN CASE WHEN v < 20 THEN 'Incomplete' END
                            WHEN 'purchase' THEN CASE WHEN v > 100 THEN 'Goal' ELSE 'Saved' END
                            WHEN 'view' THEN CASE WHEN v > 50 THEN 'Won' ELSE 'Lost' END END AS outcome,
@@ -275,7 +288,11 @@ def _zone_sql(x, y):
            round(CAST(sum(CAST(s AS DECIMAL(10,3))) FILTER (s <= 18000) AS DOUBLE), 3) AS seconds,
            CAST(sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE END AS DECIMAL(6,4))) AS DOUBLE) AS xg,
            CAST(sum(CAST(CASE WHEN kind = 'click' THEN k / 100 END AS DECIMAL(6,4))) AS DOUBLE) AS angle,
-           count(*) FILTER (k >= 50) AS under_pressure
+           count(*) FILTER (k >= 50) AS under_pressure, CAST(sum(period) AS BIGINT) AS periods, CAST(sum(minute) AS BIGINT) AS minutes,
+           CAST(sum(second(ts)) AS BIGINT) AS in_minute, CAST(sum(CAST(v AS DECIMAL(10,3))) AS DOUBLE) AS duration,
+           CAST(sum(CAST(CASE WHEN kind = 'click' THEN v END AS DECIMAL(6,2))) AS DOUBLE) AS pass_length, CAST(sum(k) AS BIGINT) AS possessions,
+           CAST(sum(idx) AS BIGINT) AS ids, CAST(sum(CAST(y AS DECIMAL(5,2))) AS DOUBLE) AS y, CAST(sum(CAST(CAST(ex AS VARCHAR) AS DECIMAL(5,2))) AS DOUBLE) AS end_x,
+           CAST(0 AS BIGINT) AS rejected
     FROM f JOIN games g USING (date_id) JOIN teams t ON t.team = f.team AND f.day BETWEEN t.f AND t.u JOIN players p ON p.player = f.player
     GROUP BY ALL""")
 def q63_event_fact(t):
@@ -291,6 +308,16 @@ def q63_event_fact(t):
         F.sum("shot_xg").cast("double").alias("xg"),
         F.sum("pass_angle").cast("double").alias("angle"),
         F.count_if("under_pressure").alias("under_pressure"),
+        F.sum("period").alias("periods"),
+        F.sum("minute").alias("minutes"),
+        F.sum("second").alias("in_minute"),
+        F.sum("duration").cast("double").alias("duration"),
+        F.sum("pass_length").cast("double").alias("pass_length"),
+        F.sum(F.col("possession_id").cast("bigint")).alias("possessions"),
+        F.sum(F.col("event_id").cast("bigint")).alias("ids"),
+        F.sum("location_y").cast("double").alias("y"),
+        F.sum("end_location_x").cast("double").alias("end_x"),
+        F.count("reject_reason").alias("rejected"),
     )
 
 
@@ -326,10 +353,11 @@ def q66_season_stats(t):
 
 @query(f"""
     WITH {BASE_SQL},
-    p AS (SELECT date_id, team, period, sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg,
+    p AS (SELECT date_id, team, period, count(*) FILTER (kind = 'pressure') AS pressures, count(*) FILTER (kind = 'recovery') AS recoveries,
+                 sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE ELSE 0 END AS DECIMAL(18,10))) AS xg,
                  sum(CAST(v AS DECIMAL(18,6))) AS ball FROM e GROUP BY GROUPING SETS ((date_id, team, period), (date_id, team)))
     SELECT CAST(date_id AS VARCHAR) AS match_natural_id, CAST(team AS VARCHAR) AS team_natural_id, CAST(period AS BIGINT) AS period,
-           CAST(0 AS BIGINT) AS pressures, CAST(0 AS BIGINT) AS recoveries,
+           pressures, recoveries,
            round(CAST(ball AS DOUBLE) / CAST(sum(ball) OVER w AS DOUBLE) * 100, 4) AS possession_pct,
            CAST(CAST(xg AS DECIMAL(18,3)) AS DOUBLE) AS xg_for, CAST(CAST(sum(xg) OVER w - xg AS DECIMAL(18,3)) AS DOUBLE) AS xg_against
     FROM p WINDOW w AS (PARTITION BY date_id, period)""")
@@ -342,10 +370,11 @@ def q67_match_phases(t):
     WITH {BASE_SQL}, {TEAM_STATS_SQL}, {PLAYER_STATS_SQL}
     SELECT p.match_sk, p.team_sk, p.player_sk, minutes_played, round(goals - CAST(xg_total AS DOUBLE), 4) AS g_minus_xg,
            round(CAST(touches_in_box AS DOUBLE) / nullif(minutes_played, 0) * 90, 4) AS touches_in_box_90,
-           CASE WHEN minutes_played > 0 THEN 0.0::DOUBLE END AS interceptions_90,
+           round(CAST(interceptions AS DOUBLE) / nullif(minutes_played, 0) * 90, 4) AS interceptions_90,
            round(CAST(tackles_won AS DOUBLE) / nullif(tackles_total, 0) * 100, 4) AS tackle_success_pct,
            round(CAST(accurate_passes AS DOUBLE) / nullif(total_passes, 0) * 100, 4) AS pass_accuracy_pct,
-           CASE WHEN minutes_played > 0 AND possession_pct > 0 THEN 0.0::DOUBLE END AS padj_interceptions_90
+           round(CAST(interceptions AS DOUBLE) / nullif(minutes_played, 0) * 90
+                 * ((100 - CAST(possession_pct AS DOUBLE)) / nullif(CAST(possession_pct AS DOUBLE), 0)), 4) AS padj_interceptions_90
     FROM pstats p JOIN tstats t ON p.match_sk = t.match_sk AND p.team_sk = t.team_sk""")
 def q68_player_performance(t):
     s = Star(t)
