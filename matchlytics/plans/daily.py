@@ -26,6 +26,8 @@ from matchlytics.sources import (
 FIRST_YEAR, LAST_YEAR = 2017, 2020
 
 BY_DAY = ["year_range", "date_id"]
+# The days and seasons that loads have rewritten since the marts were last brought up to date.
+CHANGES = "changes"
 
 class Warehouse:
     """Paths of the tables under one folder."""
@@ -220,7 +222,10 @@ def run(spark: SparkSession, root: str, out: str, date: str, config: DataFrame |
         written |= {f"{name}: {lookup} not found": n for lookup, n in lost.items() if lookup != "rows"}
     seasons = touched.where(F.col("kind") == "season").select(F.col("key").alias("season"))
     others = match_dim.where(on_days("match_date")).select("season")
-    written["fact_player_season_stats"] = _refresh_seasons(wh, seasons.unionByName(others).distinct())
+    seasons = wh.stage("changed_seasons", seasons.unionByName(others).distinct())
+    written["fact_player_season_stats"] = _refresh_seasons(wh, seasons)
+    changed = spark.createDataFrame([("day", d.replace("-", "")) for d in days], "kind string, value string")
+    append(changed.unionByName(seasons.select(F.lit("season").alias("kind"), F.col("season").alias("value"))), wh.path(CHANGES))
     replace_partitions(keys, known, ["date"]) or clear_partitions(spark, known, [("date", date)])
     return written
 

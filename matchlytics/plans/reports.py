@@ -231,7 +231,7 @@ def event_map(fact_event: DataFrame, event_type_dim: DataFrame, event_types: Seq
     """Located events of some types with outcome and xG, for shot and defensive-action maps."""
     types = event_type_dim.where(F.col("event_type").isin(*event_types)).select("event_type_sk", "event_type", "outcome")
     return fact_event.where(F.col("location_x").isNotNull()).join(types, "event_type_sk").select(
-        "match_sk", "team_sk", "player_sk", "event_type", "outcome", "location_x", "location_y", "location_id", "shot_xg"
+        "date_id", "match_sk", "team_sk", "player_sk", "event_type", "outcome", "location_x", "location_y", "location_id", "shot_xg"
     )
 
 
@@ -279,35 +279,53 @@ def pass_network(events: DataFrame) -> DataFrame:
 
 def formation_usage(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, team_match_stats: DataFrame) -> DataFrame:
     """Matches and results per team and starting formation."""
+    return formations_summed(match_formations(events, match_dim, team_dim, team_match_stats))
+
+
+def match_formations(events: DataFrame, match_dim: DataFrame, team_dim: DataFrame, team_match_stats: DataFrame) -> DataFrame:
+    """The starting formation of each team and match beside the result."""
     formations = events.where(F.col("type.name") == "Starting XI").select(
         F.col("match_id").cast("string").alias("match_natural_id"),
         F.col("team.id").cast("string").alias("team_natural_id"),
         F.col("tactics.formation").alias("formation"),
     )
     results = (
-        team_match_stats.select("match_sk", "team_sk", "result", "goals_scored")
+        team_match_stats.select("date_id", "match_sk", "team_sk", "result", "goals_scored")
         .join(match_dim.select("match_sk", "match_natural_id"), "match_sk")
         .join(team_dim.select("team_sk", "team_natural_id"), "team_sk")
     )
-    return (
-        formations.join(results, ["match_natural_id", "team_natural_id"])
-        .groupBy("team_natural_id", "formation")
-        .agg(
-            F.count("*").alias("matches"),
-            *[F.count_if(F.col("result") == r).alias(n) for r, n in (("W", "wins"), ("D", "draws"), ("L", "losses"))],
-            F.avg("goals_scored").alias("avg_goals"),
-        )
+    return formations.join(results, ["match_natural_id", "team_natural_id"]).select(
+        "date_id", "match_sk", "team_natural_id", "formation", "result", "goals_scored"
+    )
+
+
+def formations_summed(formations: DataFrame) -> DataFrame:
+    return formations.groupBy("team_natural_id", "formation").agg(
+        F.count("*").alias("matches"),
+        *[F.count_if(F.col("result") == r).alias(n) for r, n in (("W", "wins"), ("D", "draws"), ("L", "losses"))],
+        F.avg("goals_scored").alias("avg_goals"),
     )
 
 
 def play_pattern_effect(events: DataFrame) -> DataFrame:
     """Shots, goals and xG per play pattern, e.g. from corners or counters."""
+    return play_patterns_summed(match_play_patterns(events))
+
+
+def match_play_patterns(events: DataFrame) -> DataFrame:
+    """Shots, goals and xG of each match by play pattern."""
     shots = events.where(F.col("type.name") == "Shot").select(
+        F.col("match_id").cast("string").alias("match_natural_id"),
         F.col("play_pattern.name").alias("play_pattern"),
         F.col("shot.outcome.name").alias("outcome"),
         F.col("shot.statsbomb_xg").alias("xg"),
     )
-    effect = cond_counts(shots, ["play_pattern"], {"goals": F.col("outcome") == "Goal"}, {"xg": ("xg", XG)}, shots=F.count("*"))
+    keys = ["match_natural_id", "play_pattern"]
+    return cond_counts(shots, keys, {"goals": F.col("outcome") == "Goal"}, {"xg": ("xg", XG)}, shots=F.count("*"))
+
+
+def play_patterns_summed(patterns: DataFrame) -> DataFrame:
+    effect = patterns.groupBy("play_pattern").agg(*[F.sum(c).alias(c) for c in ("shots", "goals", "xg")])
     return effect.select(
         "play_pattern", "shots", "goals", F.col("xg").cast("decimal(12,3)").alias("xg"), rate("goals", "shots", 100).alias("conversion_pct")
     )

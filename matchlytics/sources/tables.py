@@ -62,12 +62,12 @@ def clear_partitions(spark: SparkSession, path: str, parts: Sequence[tuple[str,
     return len(found or [])
 
 
-def replace_table(df: DataFrame, path: str) -> int:
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> int:
     """Replaces a whole table, which ``df`` may itself read.
 
     The new content is complete beside the old one before that is touched, and stays there should the swap be cut off.
     """
     staged = f"{path}__staged"
     rows = _write(df, staged, "overwrite", ())
-    df.sparkSession.read.parquet(staged).write.mode("overwrite").parquet(path)
+    _write(df.sparkSession.read.schema(df.schema).parquet(staged), path, "overwrite", partition_by)
     return rows

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from matchlytics.plans import daily
 from matchlytics.plans.constraints import violations
-from matchlytics.plans.marts import build_marts
+from matchlytics.plans.marts import build_marts, refresh_marts
 from matchlytics.sources import read_table
 from tests import league as L
 
@@ -114,10 +114,31 @@ def test_violations_are_found(spark, in_order):
     assert bad["fact_team_match_stats", "reference match_sk"] == 3 and bad["dim_team", "intervals"] == 2
 
 
-def test_marts(spark, in_order):
-    rows = build_marts(daily.Warehouse(spark, str(in_order)))
+def marts_of(spark, out):
+    tables = sorted(p.name for p in out.iterdir() if p.name.startswith("mart_") and not p.name.endswith(("__staged", "__new")))
+    rows = {name: read_table(spark, f"{out}/{name}") for name in tables}
+    return {name: sorted(map(str, df.select(*sorted(df.columns)).collect())) for name, df in rows.items()}
+
+
+def test_marts_refreshed_by_day_equal_a_rebuild(spark, root, first_three, in_order, tmp_path):
+    out, again = tmp_path / "out", tmp_path / "again"
+    shutil.copytree(first_three, out)
+    shutil.copytree(in_order, again)
+    wh = daily.Warehouse(spark, str(out))
+    assert all(n > 0 for n in build_marts(wh).values())
+    assert refresh_marts(wh) == {}
+    kept = [p for p in out.glob("mart_match_*/date_id=20180506/*.parquet")]
+    assert len(kept) >= 7
+    load(spark, root, out, [GAMES[3]["match_date"]])
+    rows = refresh_marts(wh)
     assert rows["strategy_team_form"] == 8 and rows["strategy_head_to_head"] == 4
-    assert all(n > 0 for n in rows.values())
+    assert all(p.exists() for p in kept)
+    rebuilt = build_marts(daily.Warehouse(spark, str(again)))
+    assert rebuilt["strategy_team_form"] == 8 and all(n > 0 for n in rebuilt.values())
+    got, want = marts_of(spark, out), marts_of(spark, again)
+    assert set(got) == set(want) == {f"mart_{n}" for n in rebuilt}
+    for name in want:
+        assert got[name] == want[name], name
 
 
 def without(folder, day, kinds=("matches", "lineups", "events")):
