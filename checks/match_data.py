@@ -1,7 +1,7 @@
 """The match plans on documents that Spark derives from the ``events`` table.
 
-A day is a match between team 1 and team 2, a user a player, and each row an event of the raw schema: clicks are passes,
-purchases shots, views duels, pressures, recoveries and interceptions, sign-ups starting line-ups and substitutions (by the
+A day is a match between team 1 and team 2, a user a player, and each row an event of the raw schema: clicks are passes and
+their receipts, purchases shots, views duels, pressures, recoveries and interceptions, sign-ups starting line-ups and substitutions (by the
 next user of the team), errors fouls.
 """
 
@@ -14,6 +14,7 @@ from matchlytics.functions import date_key
 from matchlytics.plans import dimensions as D
 from matchlytics.plans import reports as R
 from matchlytics.plans import stats as S
+from matchlytics.plans.enrich import enrich_birth_year
 from matchlytics.plans.facts import fact_event
 
 
@@ -31,7 +32,7 @@ def events(t):
     rows = t.events.withColumn("k", F.from_json("props", "k bigint")["k"])
     named_user = F.struct(user.alias("id"), F.concat(F.lit("U"), user).alias("name"))
     kinds = {"click": "Pass", "purchase": "Shot", "view": "Duel", "signup": "Starting XI", "error": "Foul Committed"}
-    special = {("view", 0): "Pressure", ("view", 1): "Ball Recovery", ("view", 2): "Interception", ("signup", 0): "Substitution"}
+    special = {("view", 0): "Pressure", ("view", 1): "Ball Recovery", ("view", 2): "Interception", ("signup", 0): "Substitution", ("click", 9): "Ball Receipt*"}
     kind = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
     for (event_type, digit), name in special.items():
         kind = F.when((F.col("event_type") == event_type) & (k % 10 == digit), name).otherwise(kind)
@@ -56,13 +57,15 @@ def events(t):
         F.array(k * 1.2, F.least(v, F.lit(80.0))).alias("location"),
         v.alias("duration"),
         F.when(k >= 50, True).alias("under_pressure"),
-        _of(
-            "click",
-            v.alias("length"),
-            (k / 100).alias("angle"),
-            point.alias("end_location"),
-            F.when(v > 100, True).alias("goal_assist"),
-            _named(F.when(v < 20, "Incomplete")).alias("outcome"),
+        F.when(
+            kind == "Pass",
+            F.struct(
+                v.alias("length"),
+                (k / 100).alias("angle"),
+                point.alias("end_location"),
+                F.when(v > 100, True).alias("goal_assist"),
+                _named(F.when(v < 20, "Incomplete")).alias("outcome"),
+            ),
         ).alias("pass"),
         _of(
             "purchase",
@@ -159,7 +162,7 @@ BASE_SQL = """
                  user_id AS player, value AS v, CAST(json_extract(props, '$.k') AS BIGINT) AS k, ts,
                  CASE WHEN event_type = 'view' AND k % 10 = 0 THEN 'pressure' WHEN event_type = 'view' AND k % 10 = 1 THEN 'recovery'
                       WHEN event_type = 'view' AND k % 10 = 2 THEN 'interception' WHEN event_type = 'signup' AND k % 10 = 0 THEN 'substitution'
-                      ELSE event_type END AS kind,
+                      WHEN event_type = 'click' AND k % 10 = 9 THEN 'receipt' ELSE event_type END AS kind,
                  CASE WHEN hour(ts) < 12 THEN 1 ELSE 2 END AS period, hour(ts) * 60 + minute(ts) AS minute FROM events),
     days AS (SELECT day, date_id, count(*) FILTER (kind = 'purchase' AND v > 100 AND team = 1) AS home_score,
                     count(*) FILTER (kind = 'purchase' AND v > 100 AND team = 2) AS away_score FROM e GROUP BY ALL),
@@ -188,7 +191,7 @@ TEAM_STATS_SQL = """
     tstats AS (SELECT *, CASE WHEN goals_scored > goals_conceded THEN 'W' WHEN goals_scored < goals_conceded THEN 'L' ELSE 'D' END AS result FROM ts)"""
 PLAYER_STATS_SQL = """
     nx AS (SELECT date_id, player, kind, lead(kind) OVER w AS next_kind, lead(v) OVER w AS next_v, team, period, lead(team) OVER w AS next_team,
-                  lead(period) OVER w AS next_period FROM e
+                  lead(period) OVER w AS next_period FROM e WHERE kind <> 'receipt'
            WINDOW w AS (PARTITION BY date_id ORDER BY idx)),
     xa AS (SELECT date_id, player, sum(CAST(next_v * 0.0013579::DOUBLE AS DECIMAL(18,10))) AS xa FROM nx
            WHERE kind = 'click' AND next_kind = 'purchase' AND team = next_team AND period = next_period GROUP BY ALL),
@@ -268,19 +271,23 @@ def _zone_sql(x, y):
          + (CASE WHEN {y} < 26.6 THEN 1 WHEN {y} < 53.3 THEN 2 ELSE 3 END) END"""
 
 
-@query(f"""
-    WITH {BASE_SQL},
+FACT_SQL = f"""
     f AS (SELECT e.*, k * 1.2::DOUBLE AS x, least(v, 80.0::DOUBLE) AS y,
                  CASE kind WHEN 'click' THEN least(v * 1.5, 120.0::DOUBLE) WHEN 'purchase' THEN 120.0::DOUBLE END AS ex,
                  CASE kind WHEN 'click' THEN k * 0.8::DOUBLE WHEN 'purchase' THEN 40.0::DOUBLE END AS ey,
                  CASE kind WHEN 'click' THEN 'Pass' WHEN 'purchase' THEN 'Shot' WHEN 'view' THEN 'Duel' WHEN 'signup' THEN 'Starting XI'
                            WHEN 'pressure' THEN 'Pressure' WHEN 'recovery' THEN 'Ball Recovery' WHEN 'interception' THEN 'Interception'
-                           WHEN 'substitution' THEN 'Substitution' ELSE 'Foul Committed' END AS type,
+                           WHEN 'substitution' THEN 'Substitution' WHEN 'receipt' THEN 'Ball Receipt*' ELSE 'Foul Committed' END AS type,
                  CASE kind WHEN 'click' THEN CASE WHEN v < 20 THEN 'Incomplete' END
                            WHEN 'purchase' THEN CASE WHEN v > 100 THEN 'Goal' ELSE 'Saved' END
                            WHEN 'view' THEN CASE WHEN v > 50 THEN 'Won' ELSE 'Lost' END END AS outcome,
                  hour(ts) * 3600 + minute(ts) * 60 + CAST(millisecond(ts) AS DECIMAL(18,3)) / 1000 AS s
-          FROM e)
+          FROM e)"""
+
+
+@query(f"""
+    WITH {BASE_SQL},
+    {FACT_SQL}
     SELECT f.date_id, g.match_sk, t.team_sk, md5(concat_ws('~', coalesce(length(CAST(type AS VARCHAR)) || ':' || CAST(type AS VARCHAR), '-'), coalesce(length(CAST(outcome AS VARCHAR)) || ':' || CAST(outcome AS VARCHAR), '-'))) AS event_type_sk,
            md5(concat_ws('~', coalesce(length(CAST(k // 25 AS VARCHAR)) || ':' || CAST(k // 25 AS VARCHAR), '-'))) AS play_pattern_sk, CAST({_zone_sql('x', 'y')} AS INTEGER) AS location_id,
            CAST({_zone_sql('ex', 'ey')} AS INTEGER) AS end_location_id, count(*) AS events, count(DISTINCT p.player_sk) AS players,
@@ -471,3 +478,60 @@ def q74_formation_usage(t):
 def q75_play_pattern_effect(t):
     effect = doubles(R.play_pattern_effect(events(t)), "xg")
     return effect.withColumn("conversion_pct", F.round("conversion_pct", 4))
+
+
+@query(f"""
+    WITH {BASE_SQL},
+    {FACT_SQL}
+    SELECT f.date_id, g.match_sk, t.team_sk, type AS event_type, outcome, CAST({_zone_sql('x', 'y')} AS INTEGER) AS location_id, count(*) AS events,
+           CAST(sum(CAST(x AS DECIMAL(5,2))) AS DOUBLE) AS x, CAST(sum(CAST(y AS DECIMAL(5,2))) AS DOUBLE) AS y,
+           CAST(sum(CAST(CASE WHEN kind = 'purchase' THEN v * 0.0013579::DOUBLE END AS DECIMAL(6,4))) AS DOUBLE) AS xg
+    FROM f JOIN games g USING (date_id) JOIN teams t ON t.team = f.team AND f.day BETWEEN t.f AND t.u
+    WHERE type IN ('Shot', 'Pressure', 'Duel', 'Interception') GROUP BY ALL""")
+def q76_event_map(t):
+    s = Star(t)
+    types = D.event_type_dim(s.events)
+    facts = fact_event(s.events, s.match_dim, s.teams, s.players, types, D.play_pattern_dim(s.events))
+    located = R.event_map(facts, types, ["Shot", "Pressure", "Duel", "Interception"])
+    return located.groupBy("date_id", "match_sk", "team_sk", "event_type", "outcome", "location_id").agg(
+        F.count("*").alias("events"),
+        F.sum("location_x").cast("double").alias("x"),
+        F.sum("location_y").cast("double").alias("y"),
+        F.sum("shot_xg").cast("double").alias("xg"),
+    )
+
+
+@query(f"""
+    WITH {BASE_SQL},
+    n AS (SELECT date_id, team, player, kind, lead(kind) OVER w AS next_kind, lead(team) OVER w AS next_team, lead(player) OVER w AS receiver
+          FROM e WINDOW w AS (PARTITION BY date_id ORDER BY idx))
+    SELECT CAST(date_id AS VARCHAR) AS match_natural_id, CAST(team AS VARCHAR) AS team_natural_id, CAST(player AS VARCHAR) AS passer,
+           CAST(receiver AS VARCHAR) AS receiver, count(*) AS passes
+    FROM n WHERE kind = 'click' AND next_kind = 'receipt' AND team = next_team GROUP BY ALL""")
+def q77_pass_network(t):
+    return R.pass_network(events(t))
+
+
+@query(f"""
+    WITH {BASE_SQL}, {TEAM_STATS_SQL}
+    SELECT CAST(team AS VARCHAR) AS team_natural_id, is_home, count(*) AS matches, count(*) FILTER (result = 'W') AS wins,
+           round(avg(goals_scored), 3) AS avg_goals_scored, round(avg(goals_conceded), 3) AS avg_goals_conceded,
+           round(avg(CAST(total_xg AS DOUBLE)), 3) AS avg_total_xg, round(avg(CAST(possession_pct AS DOUBLE)), 3) AS avg_possession_pct,
+           round(avg(CAST(ppda AS DOUBLE)), 3) AS avg_ppda
+    FROM tstats GROUP BY team, is_home""")
+def q78_home_away(t):
+    s = Star(t)
+    stats = doubles(s.team_stats(), "total_xg", "possession_pct", "ppda")
+    sides = R.home_away(stats, s.teams)
+    return sides.withColumns({c: F.round(c, 3) for c in sides.columns if c.startswith("avg_")})
+
+
+@query(f"""
+    WITH {BASE_SQL}
+    SELECT player_sk, CAST(player AS VARCHAR) AS player_natural_id,
+           CASE WHEN player % 3 = 0 AND 1950 + player % 70 BETWEEN 1960 AND 2010 THEN CAST(1950 + player % 70 AS INTEGER) END AS birth_year
+    FROM players""")
+def q79_birth_years(t):
+    user = F.col("user_id")
+    people = t.events.where(user % 3 == 0).select(F.concat(F.lit("U"), user).alias("name"), (F.lit(1950) + user % 70).cast("int").alias("birth_year"))
+    return enrich_birth_year(Star(t).players, people.distinct()).select("player_sk", "player_natural_id", "birth_year")
