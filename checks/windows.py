@@ -8,12 +8,12 @@ from checks.registry import query, text, total
 from matchlytics.functions import match_result
 from matchlytics.operators import (
     cond_counts,
+    in_order,
     league_position,
     next_value,
     opponent_total,
     previous_value,
     recent,
-    row_index,
     running_total,
     top_k,
 )
@@ -77,8 +77,7 @@ def q24_next_event(t):
     SELECT event_type, before, count(*) AS events, CAST(sum(n) AS BIGINT) AS positions FROM p GROUP BY ALL""")
 def q24b_previous_event_and_position(t):
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    seen = previous_value(rows, ["user_id"], ["ts", "event_id"], {"before": "event_type"}, bucket=day())
-    placed = row_index(seen, ["user_id"], ["ts", "event_id"], "n", bucket=day())
+    placed = in_order(rows, ["user_id"], ["ts", "event_id"], previous={"before": "event_type"}, totals={"n": F.lit(1)}, bucket=day())
     return placed.groupBy("event_type", "before").agg(F.count("*").alias("events"), F.sum("n").alias("positions"))
 
 

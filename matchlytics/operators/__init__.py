@@ -27,6 +27,7 @@ from matchlytics.operators.lookup import (
     temporal_lookup,
 )
 from matchlytics.operators.ordered import (
+    in_order,
     league_position,
     next_value,
     previous_value,
@@ -54,6 +55,7 @@ __all__ = [
     "flatten",
     "grid",
     "histogram",
+    "in_order",
     "intervals_played",
     "join_loss",
     "last_per_day",

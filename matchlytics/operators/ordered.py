@@ -119,6 +119,60 @@ def row_index(
     return running_total(df, partition, order, F.lit(1), out, bucket)
 
 
+def in_order(
+    df: DataFrame,
+    partition: Sequence[str],
+    order: Sequence[str],
+    following: Mapping[str, Column | str] | None = None,
+    previous: Mapping[str, Column | str] | None = None,
+    totals: Mapping[str, Column | str] | None = None,
+    bucket: Column | None = None,
+) -> DataFrame:
+    """``next_value``, ``previous_value`` and ``running_total`` in one sort: several things to know of a group's order at once.
+
+    ``following`` and ``previous`` are {output: column} of the neighbours, ``totals`` {output: value} summed up to each row;
+    ``F.lit(1)`` gives the position. With ``bucket`` one aggregation yields all that a bucket must know of the others: the last
+    row before it, the first after it and the sums so far. That row stands at both ends of the bucket.
+    """
+    partition, order = list(partition), list(order)
+    following, previous, totals = dict(following or {}), dict(previous or {}), dict(totals or {})
+
+    def payload(values: Mapping[str, Column | str]) -> Column:
+        return F.struct(F.lit(True).alias("__there"), *[as_col(c).alias(out) for out, c in values.items()])
+
+    rows = df.select("*", payload(following).alias("__to_before"), payload(previous).alias("__to_after"), *[as_col(c).alias(f"__value_{out}") for out, c in totals.items()])
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if bucket is None:
+        w, lined_up, mine = Window.partitionBy(*partition).orderBy(*order), rows, F.lit(True)
+    else:
+        rows = rows.withColumn("__bucket", bucket).withColumn("__edge", F.lit(0))
+        types = {out: rows.select(F.sum(f"__value_{out}").alias("t")).schema["t"].dataType for out in totals}
+        rows = rows.withColumns({f"__value_{out}": F.col(f"__value_{out}").cast(t) for out, t in types.items()})
+        buckets = Window.partitionBy(*partition).orderBy("__bucket")
+        ends = rows.groupBy(*partition, "__bucket").agg(
+            F.min(F.struct(*order, "__to_before")).alias("__first"),
+            F.max(F.struct(*order, "__to_after")).alias("__last"),
+            *[F.sum(f"__value_{out}").alias(f"__sum_{out}") for out in totals],
+        )
+        before = buckets.rowsBetween(Window.unboundedPreceding, -1)
+        sums = [F.coalesce(F.sum(f"__sum_{out}").over(before), F.lit(0)).cast(t).alias(f"__value_{out}") for out, t in types.items()]
+        known = ends.select(*partition, "__bucket", F.lag("__last.__to_after").over(buckets).alias("__to_after"), F.lead("__first.__to_before").over(buckets).alias("__to_before"), *sums)
+        carried = known.select("*", F.explode(F.array(F.lit(-1), F.lit(1))).alias("__edge"))
+        lined_up = rows.unionByName(carried, allowMissingColumns=True)
+        # The sums so far count at the head of the bucket only.
+        lined_up = lined_up.withColumns({f"__value_{out}": F.when(F.col("__edge") <= 0, F.col(f"__value_{out}")) for out in totals})
+        w, mine = Window.partitionBy(*partition, "__bucket").orderBy("__edge", *order), F.col("__edge") == 0
+    found = lined_up.select(
+        "*",
+        F.lead("__to_before").over(w).alias("__next"),
+        F.lag("__to_after").over(w).alias("__previous"),
+        *[F.sum(f"__value_{out}").over(w.rowsBetween(*upto)).alias(f"__total_{out}") for out in totals],
+    ).where(mine)
+    outputs = {**{o: f"__next.{o}" for o in following}, **{o: f"__previous.{o}" for o in previous}, **{o: f"__total_{o}" for o in totals}}
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in outputs]
+    return found.select(*kept, *[F.col(c).alias(o) for o, c in outputs.items()])
+
+
 def recent(
     df: DataFrame,
     partition: Sequence[str],

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from matchlytics.operators import league_position, next_value, previous_value, recent, row_index, running_total, top_k
+from matchlytics.operators import in_order, league_position, next_value, previous_value, recent, row_index, running_total, top_k
 
 P, O = ["k"], ["t", "id"]
 BUCKETS = {"none": lambda: None, "fine": lambda: F.col("t"), "coarse": lambda: F.floor(F.col("t") / 7), "one": lambda: F.lit(0)}
@@ -57,6 +57,25 @@ def test_running_total_and_index(df, groups, bucket):
             assert (got[r[2]], place[r[2]]) == (s, n)
 
 
+@pytest.mark.parametrize("bucket", BUCKETS)
+def test_all_of_an_order_at_once(df, groups, bucket):
+    """Null neighbours, null values and empty sums among them."""
+    got = in_order(df, P, O, {"nv": "v", "nw": "w"}, {"pv": "v"}, {"n": F.lit(1), "s": F.col("v")}, BUCKETS[bucket]())
+    assert got.columns == [*df.columns, "nv", "nw", "pv", "n", "s"]
+    found = {r.id: (r.nv, r.nw, r.pv, r.n, r.s or 0) for r in got.collect()}
+    assert len(found) == 500
+    for g in groups.values():
+        total = 0
+        for n, (b, r, a) in enumerate(zip([None] + g[:-1], g, g[1:] + [None]), start=1):
+            total += r[3] or 0
+            assert found[r[2]] == (a and a[3], a and a[4], b and b[3], n, total)
+
+
+def test_all_of_an_order_at_once_sorts_once(df):
+    text = in_order(df, P, O, {"nv": "v"}, {"pv": "v"}, {"n": F.lit(1)}, F.col("t"))._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("Window [") == 2
+
+
 @pytest.mark.parametrize("bucket", BUCKETS)
 @pytest.mark.parametrize("block", [5, 8, 10_000])
 def test_recent(df, groups, bucket, block):

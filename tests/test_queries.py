@@ -94,6 +94,11 @@ def test_no_job_runs_while_a_plan_is_built(spark, monkeypatch, name):
     assert queries()[name](spark, FOLDER).columns
 
 
+def test_previous_event_and_position_come_out_of_one_sort(spark):
+    seen = queries()["q24b_previous_event_and_position"](spark, FOLDER)
+    assert plan(seen).count("FileScan") == 2 and exchanges(seen) == 4
+
+
 @pytest.mark.parametrize("name", ["q27_rollup", "q30_cube"])
 def test_levels_multiply_groups_and_not_rows(spark, name):
     text = plan(queries()[name](spark, FOLDER))
