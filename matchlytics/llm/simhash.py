@@ -182,18 +182,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     id is not a component's id unless all its ids are null. Existing columns of the two names are replaced.
     """
     docs = docs.drop("fingerprint", "component_id")
-    copy = fresh("_copy", docs.columns)
+    copy, own_id, same = (fresh(n, [*docs.columns, "fp"]) for n in ("_copy", "_id", "_same"))
     marked = docs.withColumn(copy, F.xxhash64(text))
     own = stored(fingerprints(marked, doc_id, text, shingle, (copy,)))
-    classes = classes_of(own, doc_id, crowd)
-    result = own.join(classes, "fp").select(F.col(doc_id).alias("_id"), F.col(copy).alias("_same"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id").distinct()
-    return marked.join(result, marked[doc_id].eqNullSafe(result["_id"]) & (marked[copy] == result["_same"])).drop("_id", "_same", copy)
+    found = own.join(classes_of(own, doc_id, crowd), "fp")
+    result = found.select(F.col(doc_id).alias(own_id), F.col(copy).alias(same), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id").distinct()
+    return marked.join(result, marked[doc_id].eqNullSafe(result[own_id]) & (marked[copy] == result[same])).drop(own_id, same, copy)
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, crowd: int = 4096) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each group that links lead through, the row of the smallest id.
+
+    Links are those of ``near_duplicates``. Rows are told apart by id and text, so rows of one id (or none) count as documents
+    of their own; null ids come last, and of a group's rows of one id that of the smallest hash of the text stays. Rows
+    equal in id and text are one document: one of them stays, with its other columns. Texts without words (null too) have
+    the fingerprint zero and are copies of each other. An empty table stays empty; no column of ``docs`` is lost or replaced.
+    """
+    copy, own_id, same = (fresh(n, [*docs.columns, "fp"]) for n in ("_copy", "_id", "_same"))
+    marked = docs.withColumn(copy, F.xxhash64(text))
+    own = stored(fingerprints(marked, doc_id, text, shingle, (copy,)))
+    row = F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"), F.col(copy).alias("copy"))
+    least = own.groupBy("fp").agg(F.min(row).alias("least")).join(classes_of(own, doc_id, crowd), "fp").groupBy("root").agg(F.min("least").alias("least"))
+    kept = least.select(F.col("least.id").alias(own_id), F.col("least.copy").alias(same))
+    found = marked.join(kept, marked[doc_id].eqNullSafe(kept[own_id]) & (marked[copy] == kept[same]), "left_semi")
+    return found.dropDuplicates([doc_id, copy]).drop(copy)
 
 
 def classes_of(own: DataFrame, doc_id: str, crowd: int = 4096) -> DataFrame:
-    """(fp, component_id) for a table of (doc_id, fp)."""
+    """(fp, root, component_id) for a table of (doc_id, fp): a fingerprint of the group, and the group's smallest id."""
     distinct = stored(own.groupBy("fp").agg(F.min(doc_id).alias("least")))
     roots = components(fuzzy_links(distinct.select("fp"), crowd))
     rooted = stored(distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root")))
     smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return rooted.join(smallest, "root").select("fp", "component_id")
+    return rooted.join(smallest, "root").select("fp", "root", "component_id")

@@ -6,11 +6,12 @@ import numpy as np
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from matchlytics.llm import golay
 from matchlytics.llm.components import components
 from matchlytics.llm.queries import QUERIES
-from matchlytics.llm.simhash import classes_of, fuzzy_links, near_duplicates
+from matchlytics.llm.simhash import classes_of, fuzzy_links, near_duplicates, one_of_each
 from tests.llm.conftest import SMALL
 
 
@@ -97,6 +98,30 @@ def test_edge_cases(spark, docs_of):
     assert near_duplicates(docs_of([]), "doc_id").collect() == []
 
 
+def test_one_of_each_keeps_rows_of_null_and_shared_ids(spark, docs_of):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    rows = [(None, text(0)), (None, text(1)), (None, text(1)), (7, text(2)), (7, text(3)), (8, text(4)), (None, text(4)), (9, text(3).upper()), (5, text(5)), (5, text(5)), (3, None), (2, " ")]
+    docs = docs_of(rows)
+    kept = one_of_each(docs)
+    assert kept.columns == docs.columns
+    want = [(0, text(0)), (0, text(1)), (7, text(2)), (7, text(3)), (8, text(4)), (5, text(5)), (2, " ")]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == sorted(want)
+    marked = near_duplicates(docs).collect()
+    assert len(marked) == len(rows)
+    assert len({(r.text, r.fingerprint) for r in marked}) == len({t for _, t in rows})
+    assert one_of_each(docs_of([])).collect() == []
+
+
+def test_columns_named_as_those_inside_stay(spark, docs_of):
+    names = ("_id", "_same", "_copy", "fp", "root", "least", "key")
+    docs = docs_of([(1, "a b c d"), (2, "A b c d"), (3, "other words are here")])
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id")))
+    for found, ids in ((one_of_each(docs), [1, 3]), (near_duplicates(docs), [1, 2, 3])):
+        rows = sorted(found.collect(), key=lambda r: r.doc_id)
+        assert [r.doc_id for r in rows] == ids and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)
+
+
 def test_components_of_chains_stars_and_nulls(spark):
     links = [(k, k + 1) for k in range(1, 40)] + [(100, k) for k in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200), (202, 201)]
     got = dict(components(spark.createDataFrame(links, "x long, y long")).collect())
