@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.common import stored
 from matchlytics.llm.decontaminate import decontaminate
-from matchlytics.llm.minhash import one_of_each
 from matchlytics.llm.quality_rules import quality_rules
 from matchlytics.llm.queries import MODEL
 from matchlytics.llm.sentencepiece import decode, encode
+from matchlytics.llm.simhash import one_of_each
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
 
 
@@ -29,7 +29,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts linked by a similarity of 0.8 or more in five-word shingles, the document of the smallest id stays."""
+    """Of texts linked by fingerprints of three-word shingles that differ in three bits at most, the document of the smallest id stays.
+
+    Rows of a null or shared id are documents of their own, told apart by their text; null ids come last. Rows equal in id and
+    text are one document. Texts without words, null ones too, are copies of each other.
+    """
     return one_of_each(docs).select(docs.columns)
 
 
