@@ -3,12 +3,13 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 
 import corpus_pipeline
 from tests.llm.conftest import SMALL
-from tests.llm.test_minhash import plain_kept
+from tests.llm.test_simhash import plain_classes, plain_fingerprint
 
 SPACE = "\x20\x09-\x0d"
 
@@ -30,9 +31,10 @@ def plain_quality(rows):
 
 
 def plain_copies(rows):
-    """Five words and a similarity of 0.8, by comparing all pairs."""
-    kept = plain_kept(list(rows.items()))
-    return {i: t for i, t in rows.items() if i in kept}
+    """Three words and three bits, by comparing all pairs."""
+    ids = sorted(rows)
+    root = plain_classes(ids, np.array([plain_fingerprint(rows[i]) for i in ids], np.uint64))
+    return {i: rows[i] for i in ids if root[i] == i}
 
 
 def plain_passages(rows, length=200):
