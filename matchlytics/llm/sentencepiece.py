@@ -14,6 +14,7 @@ import re
 from array import array
 from collections.abc import Callable
 from functools import lru_cache
+from hashlib import sha256
 
 import ahocorasick
 import numpy as np
@@ -24,6 +25,8 @@ from pyspark.sql import DataFrame, types as T
 from matchlytics.llm.common import list_array, map_blocks, with_schema
 
 MARK = "▁"
+#: Pairs of tokens whose fit a worker remembers.
+PAIRS = 1_000_000
 #: Ends that words are tried without, so that a word is worked out once and not once for each of them.
 ENDINGS = ".,;:!?\"')|*"
 
@@ -51,6 +54,20 @@ class Recent(dict):
         return value
 
 
+class Beside(dict):
+    """Of a last token: which tokens may stand right after it, worked out when first asked for. Without a token: the start."""
+
+    __slots__ = ("fits", "token", "size")
+
+    def __init__(self, fits: Callable[[int, int], bool] | None = None, token: int = -1, size: int = 0):
+        super().__init__()
+        self.fits, self.token, self.size = fits, token, size
+
+    def __missing__(self, token: int) -> bool:
+        found = self[token] = self.fits is None or self.fits(self.token, token)
+        return found
+
+
 class PieceTable:
     """The pieces of a merge-type model, how each is merged, and the automaton that finds them."""
 
@@ -94,11 +111,14 @@ class PieceTable:
             self.finder.add_word(piece, i)
         self.finder.make_automaton()
         self.inside = {piece[k : k + 2] for piece in text.values() for k in range(len(piece) - 1)}
-        self.known = {c for c in text.values() if len(c) == 1}
+        self.known = frozenset(c for c in text.values() if len(c) == 1)
         self.strange = re.compile(f"([^{''.join(map(re.escape, sorted(self.known)))}])", re.DOTALL)
-        self.sizes = {i: len(piece) for i, piece in text.items()}
-        self.fits = Recent(self._fits, 400_000)
+        self.sizes = [len(text.get(i, "")) for i in range(model.get_piece_size())]
+        self.pairs = 0
+        self.start = Beside()
+        self.beside = [Beside(self._counted, i, size) for i, size in enumerate(self.sizes)]
         self.words = Recent(self._encode_word, 300_000)
+        self.digits = [f"{i},".encode() for i in range(model.get_piece_size())]
 
     def _last_merge(self, piece: str) -> tuple[int, int] | None:
         """The two tokens merged last when the piece's characters alone are merged, if they become the piece."""
@@ -113,13 +133,21 @@ class PieceTable:
         ids = [self.by_text.get(x) for x in last or ()]
         return (ids[0], ids[1]) if len(ids) == 2 and None not in ids else None
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
+    def _counted(self, a: int, b: int) -> bool:
+        """``_fits``; answers kept are bounded in number, as all are forgotten when there are too many."""
+        self.pairs += 1
+        if self.pairs > PAIRS:
+            self.pairs = 0
+            for row in self.beside:
+                row.clear()
+        return self._fits(a, b)
+
+    def _fits(self, a: int, b: int) -> bool:
         """Whether the two tokens stay apart side by side.
 
         Takes their merges back, the latest first. If the tokens that then meet could have merged before the merge taken
         back, the two would never have come about next to each other. Of equal ranks the merge further left is earlier.
         """
-        a, b = pair
         done = float("inf")
         while True:
             joined = self.by_text.get(self.text[a] + self.text[b])
@@ -136,19 +164,19 @@ class PieceTable:
 
     def _encode_run(self, run: str) -> list[int]:
         """Ids of characters that are all pieces."""
-        start = -1
-        ends = [start] + [None] * len(run)
-        sizes, fits = self.sizes, self.fits
+        rows: list[Beside | None] = [None] * len(run)
+        rows.append(self.start)  # the place before the first character is -1
+        sizes, beside = self.sizes, self.beside
         for end, token in self.finder.iter(run):
-            end += 1
-            if ends[end] is None:
-                before = ends[end - sizes[token]]
-                if before is not None and (before < 0 or fits[before, token]):
-                    ends[end] = token
-        ids, at = [], len(run)
-        while at:
-            ids.append(ends[at])
-            at -= sizes[ends[at]]
+            if rows[end] is None:
+                before = rows[end - sizes[token]]
+                if before is not None and before[token]:
+                    rows[end] = beside[token]
+        ids, at = [], len(run) - 1
+        while at >= 0:
+            last = rows[at]
+            ids.append(last.token)
+            at -= last.size
         ids.reverse()
         return ids
 
@@ -156,6 +184,8 @@ class PieceTable:
         core = word.rstrip(ENDINGS)
         if core and len(core) < len(word) and word[len(core) - 1 : len(core) + 1] not in self.inside:
             return self.words[core] + self.words[word[len(core) :]]  # no piece goes over this place
+        if self.known.issuperset(word):
+            return array("i", self._encode_run(word)).tobytes()
         ids: list[int] = []
         for run in self.strange.split(word):
             if len(run) == 1 and run not in self.known:
@@ -186,6 +216,10 @@ class PieceTable:
         data = b"".join(map(self.surface.__getitem__, ids))
         return (data[1:] if data[:1] == b" " else data).decode("utf-8", "replace")
 
+    def listed(self, ids: list[int]) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return b"".join(map(self.digits.__getitem__, ids))[:-1]
+
 
 @lru_cache(2)
 def piece_table(path: str) -> PieceTable:
@@ -228,3 +262,48 @@ def decode(df: DataFrame, model: str, ids: str = "ids", decoded: str = "decoded"
         return step
 
     return map_blocks(df, make, with_schema(df, (decoded, T.StringType())), ids)
+
+
+def round_trip(df: DataFrame, model: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``encode``, then ``decode`` of what came out, in one pass over the texts. Columns named as the two added are replaced."""
+    df = df.drop(ids, decoded)
+
+    def make():
+        table = piece_table(model)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            found = [np.frombuffer(table.encode(t or ""), np.int32) for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+            texts = [table.decode(x.tolist()) for x in found]
+            values = np.concatenate([np.zeros(0, np.int32), *found])
+            return dict(zip(batch.schema.names, batch.columns)) | {ids: list_array(values, np.array([len(x) for x in found]), pa.int32()), decoded: pa.array(texts, pa.string())}
+
+        return step
+
+    return map_blocks(df, make, with_schema(df, (ids, T.ArrayType(T.IntegerType())), (decoded, T.StringType())), text)
+
+
+def round_trip_digests(df: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """In place of the text: ``n_tokens``, ``ids_sha256`` of the ids in decimal joined by commas, ``decoded_sha256`` of what they decode to.
+
+    For comparing encodings where the ids themselves needn't leave the task. A null or empty text has no ids. Columns named as
+    the three are replaced.
+    """
+    added = [("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())]
+    df = df.drop(*(n for n, _ in added))
+    left = [n for n in df.columns if n != text]
+
+    def make():
+        table = piece_table(model)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            out: dict[str, list] = {n: [] for n, _ in added}
+            for t in batch.column(batch.schema.get_field_index(text)).to_pylist():
+                found = np.frombuffer(table.encode(t or ""), np.int32).tolist()
+                out["n_tokens"].append(len(found))
+                out["ids_sha256"].append(sha256(table.listed(found)).hexdigest())
+                out["decoded_sha256"].append(sha256(table.decode(found).encode()).hexdigest())
+            return {n: batch.column(batch.schema.get_field_index(n)) for n in left} | out
+
+        return step
+
+    return map_blocks(df, make, with_schema(df.drop(text), *added), text)
