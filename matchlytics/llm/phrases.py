@@ -16,8 +16,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from matchlytics.llm.common import map_blocks, on_workers, stored, tasks, utf8
-from matchlytics.llm.suffix_dedup import RANGES, anchored_runs, ranges_of, segments_of, text_tag
+from matchlytics.llm.anchors import Rolling, mixed
+from matchlytics.llm.common import fresh, map_blocks, on_workers, stored, tasks, utf8
+from matchlytics.llm.suffix_dedup import RANGES, anchored_runs, ranges_of, segments_of, tag_of
 
 GRAM = 5
 #: Bytes of stretches that one automaton is made for.
@@ -38,40 +39,63 @@ def _join(words: list[bytes], a: int, b: int) -> bytes:
     return b" ".join(words[a:b])
 
 
-def _place(row: dict, offset: int) -> tuple:
-    """Order of an occurrence: null ids first, then by id and start."""
-    return (row["id"] is not None, row["id"] if row["id"] is not None else 0, row["first"] + offset)
-
-
-def later_windows(rows: list[dict], length: int) -> list[np.ndarray]:
-    """For each stretch (``data``, ``count`` windows, ``copies``, its earliest ``id`` and ``first``): which windows occur earlier."""
-    numbers: dict[bytes, int] = {}
-    lines = [tuple(numbers.setdefault(w, len(numbers) + 1) for w in row["data"].split()) for row in rows]
-    seen: set[tuple] = set()
-    recurring: set[tuple] = set()
-    for row, line in zip(rows, lines):
-        for k in range(row["count"]):
-            window = line[k : k + length]
-            if row["copies"] > 1 or window in seen:
-                recurring.add(window)
-            seen.add(window)
-    del seen
+def _passages(later: np.ndarray, least: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of later windows that follow each other, and whose earliest ones do too: first window and number of each run."""
+    k = np.flatnonzero(later)
+    new = np.ones(len(k), bool)
+    on = (np.diff(k) == 1) & (np.diff(least[k]) == 1) & (np.diff(owner[k]) == 0) & (np.diff(owner[least[k]]) == 0)
+    new[1:] = ~on
+    heads = np.flatnonzero(new)
+    return k[heads], np.diff(np.append(heads, len(k)))
+
+
+def later_windows(rows: list[dict], length: int, salt: int = 0) -> list[np.ndarray]:
+    """For each stretch (``data``, ``count`` windows, its earliest ``id`` and ``first``): which windows occur earlier.
+
+    Rolling hashes of word numbers propose passages that recur, as long as they go on alike; an automaton of those passages
+    streams through the stretches that hold them and says where they do occur. Places are ordered by id, null first, then by
+    start. A proposal that the automaton doesn't find at its earliest place is a collision, and others hashes are taken.
+    """
+    counts = np.array([row["count"] for row in rows], np.int64)
+    owner = np.repeat(np.arange(len(rows)), counts)
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    split = [row["data"].split() for row in rows]
+    starts = np.append(0, np.cumsum([len(w) for w in split], dtype=np.int64))
+    numbers = pa.array(list(chain.from_iterable(split)), pa.large_binary()).dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.uint64) + np.uint64(1)
+    del split
+    at = starts[owner] + offset
+    hashes = Rolling(mixed(numbers + np.uint64(salt << 40)))(at, at + length)
+    ids = [(row["id"] is not None, row["id"] if row["id"] is not None else 0) for row in rows]
+    order = {x: n for n, x in enumerate(sorted(set(ids)))}
+    base = np.array([order[x] << 32 for x in ids], np.int64) + np.array([row["first"] for row in rows], np.int64)
+    place = base[owner] + offset
+    sorting = np.lexsort((place, hashes))
+    same = np.concatenate([[False], np.diff(hashes[sorting]) == 0]) if len(sorting) else np.zeros(0, bool)
+    least = np.empty(len(owner), np.int64)
+    least[sorting] = sorting[np.maximum.accumulate(np.where(same, 0, np.arange(len(sorting))))]
+    later = place > place[least]
     out = [np.zeros(row["count"], bool) for row in rows]
-    if not recurring:
+    if not later.any():
         return out
+    heads, sizes = _passages(later, least, owner)
+    lines = {int(k): tuple(numbers[starts[k] : starts[k + 1]].tolist()) for k in np.unique(np.concatenate([owner[later], owner[least[later]]]))}
+    known: dict[tuple, int] = {}
+    number = np.array([known.setdefault(lines[k][o : o + n + length - 1], len(known)) for k, o, n in zip(owner[heads].tolist(), offset[heads].tolist(), sizes.tolist())])
     shard = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for number, window in enumerate(recurring):
-        shard.add_word(window, number)
+    for passage, n in known.items():
+        shard.add_word(passage, n)
     shard.make_automaton()
-    places: list[list[tuple[int, int]]] = [[] for _ in recurring]
-    for k, (row, line) in enumerate(zip(rows, lines)):
-        for end, number in shard.iter(line):
-            places[number].append((k, end + 1 - length))
-    for found in places:
-        least = min(_place(rows[k], offset) for k, offset in found)
-        for k, offset in found:
-            if offset < rows[k]["count"] and _place(rows[k], offset) > least:
-                out[k][offset] = True
+    found = np.array([(k, end, n) for k, line in lines.items() for end, n in shard.iter(line)], np.int64).reshape(-1, 3)
+    windows = np.array([len(passage) - length + 1 for passage in known], np.int64)
+    begin = found[:, 1] + 2 - length - windows[found[:, 2]]
+    where = base[found[:, 0]] + begin
+    first = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(first, found[:, 2], where)
+    if (first[number] > place[least[heads]]).any():
+        return later_windows(rows, length, salt + 1)
+    again = where > first[found[:, 2]]
+    for k, a, n in zip(found[again, 0].tolist(), begin[again].tolist(), windows[found[again, 2]].tolist()):
+        out[k][a : a + n] = True
     return out
 
 
@@ -154,7 +178,7 @@ def later_occurrences(docs: DataFrame, length: int, crowd: int = 4096) -> DataFr
     own = F.when(F.struct("id", "first").eqNullSafe(F.col("earliest")), F.col("ranges")).otherwise(whole)
     placed = runs.join(firsts, keys).select("id", "tag", "first", own.alias("ranges")).where(F.size("ranges") > 0)
     shifted = F.transform("ranges", lambda r: F.struct((r["a"] + F.col("first")).alias("a"), (r["b"] + F.col("first")).alias("b")))
-    return placed.select("id", "tag", shifted.alias("ranges")).groupBy("id", "tag").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return placed.select("id", "tag", shifted.alias("ranges")).groupBy("id", "tag").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 def remove_later_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = 20, crowd: int = 4096) -> DataFrame:
@@ -167,17 +191,18 @@ def remove_later_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     """
     docs = docs.drop("n_words", "spans", "kept")
     places = later_occurrences(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), length, crowd)
-    per_id = places.groupBy("id").agg(F.collect_list(F.struct("tag", "ranges")).alias("_found"))
-    both = docs.join(per_id, docs[doc_id].eqNullSafe(per_id["id"]), "left").select(*(docs[c] for c in docs.columns), "_found")
+    tag, own_id, found = (fresh(n, docs.columns) for n in ("_tag", "_id", "_found"))
+    places = places.select(F.col("id").alias(own_id), F.col("tag").alias(tag), F.col("ranges").alias(found))
+    both = docs.join(places, docs[doc_id].eqNullSafe(places[own_id]) & (tag_of(docs[text]) == places[tag]), "left").select(*(docs[c] for c in docs.columns), found)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("spans", RANGES), T.StructField("kept", T.StringType())])
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {"n_words": [], "spans": [], "kept": []}
             for data, found in zip(utf8(batch.column(batch.schema.get_field_index(text))), batch.column(batch.num_columns - 1).to_pylist()):
-                words, tag = data.split(), text_tag(data) if found else 0
+                words = data.split()
                 gone = np.zeros(len(words) + 1, np.int32)
-                for r in (r for f in found or [] if f["tag"] == tag for r in f["ranges"]):
+                for r in found or []:
                     gone[r["a"]] += 1
                     gone[r["b"] + length - 1] -= 1
                 removed = np.cumsum(gone)[:-1] > 0

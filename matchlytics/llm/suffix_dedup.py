@@ -12,10 +12,10 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from matchlytics.llm.anchors import anchor_runs, byte_values
-from matchlytics.llm.common import list_array, map_blocks, on_workers, stored, tasks, utf8
+from matchlytics.llm.common import fresh, list_array, map_blocks, on_workers, stored, tasks, utf8
 from matchlytics.llm.suffixes import repeated_starts
 
 #: Bytes in an anchor's gram, and of text handled at a time.
@@ -27,7 +27,12 @@ FOUND = "anchor long, content long, count int, ranges array<struct<a:int,b:int>>
 
 def text_tag(text: bytes) -> int:
     """Tells rows of one id with different texts apart."""
-    return xxhash.xxh32_intdigest(text) >> 1
+    return xxhash.xxh64_intdigest(text, 42) & 0x7FFFFFFF
+
+
+def tag_of(text: Column) -> Column:
+    """``text_tag`` as a column, so that tables are joined by id and tag; null is the empty text."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).bitwiseAND(0x7FFFFFFF).cast("int")
 
 
 def byte_units(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,19 +79,18 @@ def segments_of(docs: DataFrame, wanted: DataFrame, length: int, prepare=_same,
     ``take`` gets what ``prepare`` made of a text, and the first unit and the one after the last.
     """
     by_text = wanted.groupBy("id", "tag").agg(F.collect_list(F.struct("anchor", "content", "count", "copies", "first")).alias("runs"))
-    own = docs.alias("d").join(by_text.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id"))).select("w.tag", "d.text", "w.runs")
+    own = docs.alias("d").join(by_text.alias("w"), F.col("d.id").eqNullSafe(F.col("w.id")) & (tag_of(F.col("d.text")) == F.col("w.tag"))).select("d.text", "w.runs")
     schema = T._parse_datatype_string(SEGMENT)
 
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             out: dict[str, list] = {f.name: [] for f in schema}
-            for tag, text, runs in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), batch.column(2).to_pylist()):
-                if tag == text_tag(text):
-                    prepared = prepare(text)
-                    for run in runs:
-                        for name in ("anchor", "content", "count", "copies"):
-                            out[name].append(run[name])
-                        out["data"].append(take(prepared, run["first"], run["first"] + run["count"] + length - 1))
+            for text, runs in zip(utf8(batch.column(0)), batch.column(1).to_pylist()):
+                prepared = prepare(text)
+                for run in runs:
+                    for name in ("anchor", "content", "count", "copies"):
+                        out[name].append(run[name])
+                    out["data"].append(take(prepared, run["first"], run["first"] + run["count"] + length - 1))
             return out
 
         return step
@@ -184,7 +188,7 @@ def repeated_strings(docs: DataFrame, length: int, crowd: int = 4096) -> DataFra
     places = runs.join(stored(found), ["anchor", "content", "count"]).select(
         "id", "tag", F.transform("ranges", lambda r: F.struct((r["a"] + F.col("first")).alias("a"), (r["b"] + F.col("first")).alias("b"))).alias("ranges")
     )
-    return places.groupBy("id", "tag").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return places.groupBy("id", "tag").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 def merged(ranges: list[dict], length: int) -> list[tuple[int, int]]:
@@ -230,8 +234,9 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
     """
     docs = docs.drop("n_bytes", "spans", "kept", "cleaned")
     places = repeated_strings(docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")), length, crowd)
-    per_id = places.groupBy("id").agg(F.collect_list(F.struct("tag", "ranges")).alias("_found"))
-    both = docs.join(per_id, docs[doc_id].eqNullSafe(per_id["id"]), "left").select(*(docs[c] for c in docs.columns), "_found")
+    tag, own_id, found = (fresh(n, docs.columns) for n in ("_tag", "_id", "_found"))
+    places = places.select(F.col("id").alias(own_id), F.col("tag").alias(tag), F.col("ranges").alias(found))
+    both = docs.join(places, docs[doc_id].eqNullSafe(places[own_id]) & (tag_of(docs[text]) == places[tag]), "left").select(*(docs[c] for c in docs.columns), found)
     schema = T.StructType(
         [*docs.schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("spans", RANGES), T.StructField("kept", T.BinaryType()), T.StructField("cleaned", T.StringType())]
     )
@@ -241,8 +246,7 @@ def remove_repeated_strings(docs: DataFrame, doc_id: str = "doc_id", text: str =
             raw = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {"n_bytes": [], "spans": [], "kept": [], "cleaned": []}
             for data, null, found in zip(utf8(raw), raw.is_null().to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
-                tag = text_tag(data) if found else 0
-                spans = merged([r for f in found or [] if f["tag"] == tag for r in f["ranges"]], length)
+                spans = merged(found or [], length)
                 out["n_bytes"].append(len(data))
                 out["spans"].append([{"a": a, "b": b} for a, b in spans])
                 out["kept"].append(without(data, spans))
