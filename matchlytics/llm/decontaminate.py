@@ -52,7 +52,7 @@ def _shards(benchmark: DataFrame, item_id: str, text: str, window: int, shard_ch
 
 
 def automaton(key: str, windows: dict[bytes, list[str]]) -> ahocorasick.Automaton:
-    """Finds the windows between spaces; made once in a worker. Bytes stand as characters."""
+    """Finds the windows between spaces; made once in a worker, which keeps four. Bytes stand as characters."""
     if key not in _automata:
         made = ahocorasick.Automaton()
         for found, items in windows.items():
@@ -65,20 +65,24 @@ def automaton(key: str, windows: dict[bytes, list[str]]) -> ahocorasick.Automato
     return _automata[key]
 
 
-def scan(text: bytes, finder: ahocorasick.Automaton) -> tuple[int, np.ndarray | None, list[str]]:
-    """Number of words, which of them are hit (None: none), and the items found."""
+def word_line(text: bytes) -> bytes:
+    """The words with a space before, between and after them; nothing if there are none."""
     found = normal_words(text)
-    line = b" " + b" ".join(found) + b" "
-    matches = list(finder.iter(line.decode("latin-1"))) if found and len(finder) else []
+    return b" " + b" ".join(found) + b" " if found else b""
+
+
+def scan(line: bytes, finder: ahocorasick.Automaton) -> tuple[np.ndarray | None, list[str]]:
+    """Which words of the line are hit (None: none), and the items found."""
+    matches = list(finder.iter(line.decode("latin-1"))) if line and len(finder) else []
     if not matches:
-        return len(found), None, []
+        return None, []
     spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
     last = np.searchsorted(spaces, [end for end, _ in matches])
     first = np.searchsorted(spaces, [end + 1 - size for end, (size, _) in matches])
-    cover = np.zeros(len(found) + 1, np.int64)
+    cover = np.zeros(len(spaces), np.int64)
     np.add.at(cover, first, 1)
     np.add.at(cover, last, -1)
-    return len(found), np.cumsum(cover)[:-1] > 0, sorted({i for _, (_, items) in matches for i in items})
+    return np.cumsum(cover)[:-1] > 0, sorted({i for _, (_, items) in matches for i in items})
 
 
 def spans_of(text: bytes, hit: np.ndarray) -> list[tuple[int, int]]:
@@ -124,17 +128,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
         def step(batch: pa.RecordBatch) -> dict:
             raw = batch.column(batch.schema.get_field_index(text))
             out: dict[str, list] = {n: [] for n, _ in added}
-            for data in utf8(raw):
-                hit, items, n = None, [], len(normal_words(data)) if not shards else 0
-                for key, shard in zip(keys, shards):
-                    n, covered, found = scan(data, automaton(key, shard.value))
+            texts = utf8(raw)
+            lines = [word_line(data) for data in texts]
+            hits: list[np.ndarray | None] = [None] * len(lines)
+            items: list[list[str]] = [[] for _ in lines]
+            for key, shard in zip(keys, shards):  # each automaton is made at most once for a block of texts
+                finder = automaton(key, shard.value)
+                for k, line in enumerate(lines):
+                    covered, found = scan(line, finder)
                     if covered is not None:
-                        hit = covered if hit is None else hit | covered
-                        items += found
+                        hits[k] = covered if hits[k] is None else hits[k] | covered
+                        items[k] += found
+            for data, line, hit, names in zip(texts, lines, hits, items):
                 spans = [] if hit is None else spans_of(data, hit)
-                out["n_words"].append(n)
+                out["n_words"].append(max(0, line.count(b" ") - 1))
                 out["n_hit"].append(0 if hit is None else int(hit.sum()))
-                out["items"].append(sorted(set(items)))
+                out["items"].append(sorted(set(names)))
                 out["spans"].append([{"start": a, "end": b} for a, b in spans])
                 out["cleaned"].append(_without(data.decode(), spans) if spans else None)
             return dict(zip(batch.schema.names, batch.columns)) | out
