@@ -88,7 +88,8 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host:
     ).select("_id", "host", "copy", "line.*")
     held = lines.join(often, "key").withColumn("long", F.size(F.split(_normal(F.col("line")), " ")) >= long_line)
     held = stored(held.groupBy("_id", "copy", "key").agg(F.max("host").alias("host"), F.sum("chars").alias("chars"), F.count("*").alias("n"), F.max("long").alias("long")))
-    hosts = rows.groupBy(F.xxhash64("_host").alias("host")).agg(F.count("*").alias("docs"))
+    documents = rows.select(F.xxhash64("_host").alias("host"), "_id", F.xxhash64("_text").alias("copy")).distinct()
+    hosts = documents.groupBy("host").agg(F.count("*").alias("docs"))
     counted = held.groupBy("key").agg(F.max("host").alias("host"), F.count("*").alias("found"), F.min("copy").alias("a"), F.max("copy").alias("b"), F.min("_id").alias("first"), F.max("long").alias("long"))
     many = (F.col("found") > F.col("docs") * max_share) | (F.col("long") & (F.col("found") > max_docs))
     above = counted.join(hosts, "host").where((F.col("found") > min_docs) & many & (F.col("a") != F.col("b"))).select("key", "first")
@@ -127,7 +128,9 @@ def quality_rules(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", h
     """
     docs = docs.drop(*(c for c in [*STATISTICS, "n_lines_removed", "chars_removed", "kept", "cleaned"] if c not in (doc_id, text, host)))
     found = verdicts(docs, doc_id, text, host, min_docs, max_share, max_removed, max_docs, long_line).dropDuplicates(["_id", "_copy"])
-    df = docs.join(found, docs[doc_id].eqNullSafe(found["_id"]) & (F.xxhash64(docs[text]) == found["_copy"]))
+    own_id, copy, gone = (fresh(n, [*docs.columns, *found.columns, "cleaned"]) for n in ("_own_id", "_own_copy", "_own_keys"))
+    found = found.withColumnsRenamed({"_id": own_id, "_copy": copy, "_keys": gone})
+    df = docs.join(found, docs[doc_id].eqNullSafe(found[own_id]) & (F.xxhash64(docs[text]) == found[copy]))
     h = F.coalesce(F.col(host).cast("string"), F.lit("\0"))
-    rest = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains("_keys", _line_key(x, h)))), "\n")
-    return df.withColumn("cleaned", F.when(F.col("_keys").isNull(), F.col(text)).otherwise(rest)).drop("_id", "_copy", "_keys")
+    rest = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~(x.rlike(r"[^\x20\x09-\x0D]") & F.array_contains(gone, _line_key(x, h)))), "\n")
+    return df.withColumn("cleaned", F.when(F.col(gone).isNull(), F.col(text)).otherwise(rest)).drop(own_id, copy, gone)

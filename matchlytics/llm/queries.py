@@ -16,7 +16,7 @@ from matchlytics.llm.phrases import remove_later_passages
 from matchlytics.llm.prefix_trie import KEY, build_trie, ends_digests, forked, numbered
 from matchlytics.llm.quality_classifier import quality_scores
 from matchlytics.llm.quality_rules import STATISTICS, verdicts
-from matchlytics.llm.sentencepiece import decode, encode
+from matchlytics.llm.sentencepiece import round_trip_digests
 from matchlytics.llm.simhash import classes_of, fingerprints
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
 from matchlytics.llm.toxicity import toxicity_scores
@@ -51,14 +51,7 @@ def digest(c: Column | str) -> Column:
 
 @query()
 def op1_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = decode(encode(docs, MODEL).drop("text"), MODEL)
-    return both.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),
-        digest("decoded").alias("decoded_sha256"),
-    )
+    return round_trip_digests(table(spark, folder, "documents").select("doc_id", "text"), MODEL)
 
 
 @query()
@@ -149,11 +142,12 @@ l AS (SELECT doc_id, host, text, line FROM (SELECT doc_id, host, text, unnest(st
 u AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l GROUP BY doc_id),
 k AS (
   SELECT doc_id, host, text, trim(regexp_replace(lower(line), '[\\x20\\x09-\\x0D0-9]+', ' ', 'g')) AS key, length(line) AS chars FROM l),
-c AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+c AS (SELECT host, count(*) AS docs FROM (SELECT DISTINCT host, doc_id, text FROM d) GROUP BY host),
 a AS (
   SELECT host, key, first FROM (
     SELECT host, key, count(DISTINCT doc_id) AS found, count(DISTINCT text) AS texts, min(doc_id) AS first FROM k GROUP BY host, key)
-  JOIN c USING (host) WHERE found > 20 AND found > docs * 0.03 AND texts > 1),
+  JOIN c USING (host) WHERE found > 20 AND texts > 1
+    AND (found > docs * 0.03 OR (found > 200 AND len(string_split(key, ' ')) >= 5))),
 x AS (
   SELECT doc_id, count(*) AS n, sum(chars) AS chars FROM k JOIN a USING (host, key) WHERE doc_id <> first GROUP BY doc_id),
 s AS (
