@@ -34,10 +34,13 @@ def on_workers(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """A new folder for intermediate tables below ``spark.checkpoint.dir``, which all executors share.
 
-    Only where that is unset, as in tests on one machine, a temporary folder is set instead.
+    Only where that is unset and the session runs on one machine, as in tests, a temporary folder is set instead; on a
+    cluster it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
@@ -50,14 +53,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df.checkpoint()``, in the shared folder."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
-
-
 def tasks(df: DataFrame) -> int:
     """How many tasks a repartition should make: what the session shuffles to."""
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
