@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.conftest import SMALL
@@ -93,11 +94,33 @@ def test_pipeline_equals_plain_stages(spark):
     assert all(r.n_tokens == len(r.ids) for r in got)
 
 
-def test_stages_keep_the_columns_and_take_empty_tables_and_nulls(spark, docs_of):
-    for rows in ([], [(1, None), (None, "a b"), (None, None), (2, "x " * 300), (3, "a b c d e f g h i j k l"), (3, "a b c d e f g h i j k l")]):
-        docs = docs_of(rows)
+def test_stages_on_nulls_repeated_rows_and_empty_tables(spark, docs_of):
+    line = "a b c d e f g h i j k l"
+    rows = [(1, None), (None, "a b"), (None, None), (2, "x " * 300), (3, line), (3, line), (None, line + " m n")]
+    left = {
+        "quality rules": [(None, line + " m n"), (3, line), (3, line)],
+        "near-duplicates": [(1, None), (2, "x " * 300), (3, line), (None, "a b"), (None, line + " m n")],
+        "repeated passages": [(i, "" if i == 2 else t) for i, t in rows],
+        "benchmark passages": rows,
+    }
+    for given in ([], rows):
+        docs = docs_of(given)
         for name, stage in corpus_pipeline.STAGES:
             found = stage(spark, docs, SMALL)
-            if name != "tokens":
+            if name == "tokens":
+                assert sorted((str(r.doc_id), r.text) for r in found.collect()) == sorted((str(i), t or "") for i, t in given)
+            else:
                 assert found.columns == docs.columns
-            assert found.count() <= len(rows)
+                assert sorted((str(r.doc_id), str(r.text)) for r in found.collect()) == sorted((str(i), str(t)) for i, t in (left[name] if given else []))
+
+
+def test_columns_named_as_those_of_the_operators_stay(spark, docs_of):
+    names = ["kept", "cleaned", "spans", "n_words", "items", "fingerprint", "_keys", "_id", "_copy", "_found", "_tag", "user_column_4", "id", "tag"]
+    docs = docs_of([(k, " ".join(f"w{k}x{j}" for j in range(30))) for k in range(3)])
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id")))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, docs, SMALL)
+        assert found.columns == docs.columns and found.schema == docs.schema
+        rows = found.collect()
+        assert len(rows) == 3 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names)

@@ -5,11 +5,13 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from matchlytics.llm import queries
 from matchlytics.llm.decontaminate import decontaminate
-from matchlytics.llm.phrases import remove_later_passages
+from matchlytics.llm.phrases import later_windows, remove_later_passages
 from matchlytics.llm.quality_rules import quality_rules
+from matchlytics.llm.suffix_dedup import remove_repeated_strings
 from matchlytics.llm.url_filter import filter_urls
 from tests.llm.conftest import SMALL
 from tools.compare import database, rows_of
@@ -82,16 +84,76 @@ def test_long_lines_of_many_documents_go_on_a_large_host(spark, docs_of):
 
 
 def test_quality_rules_equal_sql_where_lines_are_above_the_limit(spark, docs_of, tmp_path):
-    """The SQL has no absolute limit, so the large host has 1,000 documents here."""
-    docs_of([r for r in _hosts() if r[2] == "small" or r[0] < 1000], 1).write.parquet(f"{tmp_path}/raw")
+    """On the host of 7,100 only the absolute limit is passed, on one of 1,000 the share."""
+    small = [r for r in _hosts() if r[2] == "small"]
+    docs_of([r for r in _hosts() if r[2] != "small"] + small + [(r[0] + 10_000, r[1], "other") for r in _hosts()[:1000]], 1).write.parquet(f"{tmp_path}/raw")
     (tmp_path / "documents.parquet").write_bytes(next((tmp_path / "raw").glob("*.parquet")).read_bytes())
     df = queries.QUERIES["op7_quality_rules"](spark, str(tmp_path))
     found = database(str(tmp_path)).execute(queries.ORACLES["op7_quality_rules"])
     rows = df.collect()
-    assert sum(r.n_lines_removed for r in rows) == 49 + 204 + 204
+    assert sum(r.n_lines_removed for r in rows) == 49 + 204 + 204 + 204
     assert rows_of(df.columns, rows) == rows_of([d[0] for d in found.description], found.fetchall())
 
 
+def test_repeated_rows_are_one_document_of_their_host(spark, docs_of):
+    own = lambda k: " ".join(f"w{chr(97 + k // 26)}{chr(97 + k % 26)}{chr(97 + j)}" for j in range(12))
+    rows = [(k, ("Follow us on the social networks\n" if k < 25 else "") + own(k), "one") for k in range(500)]
+    for times in (1, 4):
+        got = quality_rules(docs_of(rows * times)).collect()
+        assert len(got) == 500 * times
+        assert sorted(r.doc_id for r in got if r.n_lines_removed) == sorted([*range(1, 25)] * times)
+
+
+def test_operators_keep_columns_named_as_their_inner_ones(spark, docs_of):
+    names = ["_keys", "_id", "_copy", "_found", "_tag", "_own_id", "id", "tag", "ranges", "key"]
+    passage = " ".join(f"word{j}" for j in range(60))
+    docs = docs_of([(k, f"own{k} {passage}") for k in range(3)])
+    for n in names:
+        docs = docs.withColumn(n, F.concat(F.lit(n), F.col("doc_id")))
+    for operator in (quality_rules, remove_later_passages, remove_repeated_strings):
+        rows = operator(docs).collect()
+        assert len(rows) == 3 and all(r[n] == f"{n}{r.doc_id}" for r in rows for n in names), operator
+
+
+def test_rows_of_one_id_or_none_get_only_their_own_passages(spark, docs_of):
+    """A third of the rows without id, each joined with what was found in its own text alone."""
+    passage = " ".join(f"word{j}" for j in range(60))
+    rows = [(None, f"own{k} {passage}" if k % 2 else " ".join(f"x{k}y{j}" for j in range(60))) for k in range(60)] + [(k, f"{passage} end{k}") for k in range(20)]
+    strings = {r.text: r.cleaned for r in remove_repeated_strings(docs_of(rows)).collect()}
+    later = remove_later_passages(docs_of(rows)).collect()
+    assert len(strings) == len({t for _, t in rows}) and len(later) == len(rows)
+    assert all((passage in t) == (strings[t] != t) for _, t in rows)
+    assert all(r.kept == r.text for r in later if passage not in r.text)
+    assert all(passage not in r.kept for r in later if r.doc_id is not None)
+
+
+def test_later_windows_equal_comparing_all(spark):
+    rng = random.Random(3)
+    order = lambda r, k: (r["id"] is not None, r["id"] or 0, r["first"] + k)
+    for _ in range(150):
+        length, letters, rows = rng.choice([2, 3, 5, 20]), rng.choice([1, 2, 4, 50]), []
+        pool = [[rng.randrange(letters) for _ in range(length * 3)] for _ in range(3)]
+        for _ in range(rng.randint(1, 30)):
+            n, base = rng.randint(1, 16), rng.choice(pool)
+            line = (base[rng.randrange(len(base)) :] + [rng.randrange(letters) for _ in range(n + length)])[: n + length - 1]
+            rows.append({"data": " ".join(map(str, line)).encode(), "count": n, "id": rng.choice([None, 1, 2, 7, -5]), "first": rng.randrange(6)})
+        windows = [[tuple(r["data"].split()[k : k + length]) for k in range(r["count"])] for r in rows]
+        least: dict[tuple, tuple] = {}
+        for r, own in zip(rows, windows):
+            for k, w in enumerate(own):
+                least[w] = min(least.get(w, order(r, k)), order(r, k))
+        want = [[order(r, k) > least[w] for k, w in enumerate(own)] for r, own in zip(rows, windows)]
+        assert [x.tolist() for x in later_windows(rows, length)] == want
+
+
+def test_more_automata_than_a_worker_keeps(spark, docs_of):
+    items = [(str(k), " ".join(f"i{k}w{j}" for j in range(12))) for k in range(30)]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    docs = docs_of([(k, f"before {items[k % 30][1]} after, {items[(k + 7) % 30][1]}" if k % 3 else "clean words") for k in range(40)] + [(99, None)])
+    one, many = (sorted(map(str, decontaminate(docs, benchmark, shard_chars=size).collect())) for size in (4 << 20, 200))
+    assert one == many and sum("Row(start" in r for r in one) == 26
+
+
 def test_url_filter_edge_cases(spark):
     rules = queries.URL_RULES
     urls = ["http://A.B.NET/x", "https://example.net/en/1", "https://www.example.net/en", "ftp://example.com/de/x?y", "x.org/fr/", None, "", "http://", "http://foo.org/fr/?a=b&c=d#e", "http://notexample.com/de/", "http://h.io?q", "http://example.net?x://y.org/fr/"]
