@@ -5,27 +5,39 @@ Each stage takes (spark, docs, folder of the tables) and works on all documents
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from matchlytics.llm.common import stored
 from matchlytics.llm.decontaminate import decontaminate
 from matchlytics.llm.quality_rules import quality_rules
 from matchlytics.llm.queries import MODEL
-from matchlytics.llm.sentencepiece import decode, encode
+from matchlytics.llm.sentencepiece import round_trip
 from matchlytics.llm.simhash import one_of_each
 from matchlytics.llm.suffix_dedup import remove_repeated_strings
 
 
-def _with_text(found: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
-    """The columns of ``docs``, with another text and its length."""
-    new = {"text": text} | ({"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return found.select(*(new[c].alias(c) if c in new else found[c] for c in docs.columns))
+#: Columns that the operators read; all others are out of their sight, whatever their names.
+USED = ("doc_id", "text", "source")
+
+
+def _with_text(docs: DataFrame, operator: Callable[[DataFrame], DataFrame], kept: Column | None = None) -> DataFrame:
+    """The rows that ``operator`` gives for ``docs``, those ``kept`` if given, with ``cleaned`` as their text and its length."""
+    names = {c: f"user_column_{k}" for k, c in enumerate(docs.columns) if c not in USED}
+    found = operator(docs.toDF(*(names.get(c, c) for c in docs.columns)))
+    new = {"text": F.col("cleaned")} | ({"n_chars": F.length("cleaned").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    rows = found if kept is None else found.where(kept)
+    return rows.select(*(new.get(c, F.col(names.get(c, c))).alias(c) for c in docs.columns))
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; lines above the limits go from the others."""
-    found = quality_rules(docs)
-    return _with_text(found.where("kept"), docs, F.col("cleaned"))
+    """Rejected documents go; lines above the limits go from the others.
+
+    Null and empty texts are rejected. Rows of one id and text count as one document of their host and stay or go together;
+    of the documents with a line above the limit the one of the smallest id (a null id is larger than any) keeps it.
+    """
+    return _with_text(docs, quality_rules, F.col("kept"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,19 +50,25 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 200 bytes found twice go, in whole characters."""
-    return _with_text(remove_repeated_strings(docs), docs, F.col("cleaned"))
+    """Strings of 200 bytes found twice go, in whole characters, all their occurrences.
+
+    Every row stays, if with an empty text. A null text stays null; repeated rows repeat each other's strings.
+    """
+    return _with_text(docs, remove_repeated_strings)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Words hit by ten-word windows of the benchmark go."""
-    found = decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return _with_text(found, docs, F.col("cleaned"))
+    """Words hit by ten-word windows of the benchmark go.
+
+    Every row stays, repeated rows and null ids too, if with an empty text; a null text stays null.
+    """
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _with_text(docs, lambda own: decontaminate(own, benchmark))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The ids of each text, and what they decode to."""
-    both = decode(encode(docs.select("doc_id", "text"), MODEL).drop("text"), MODEL)
+    """The ids of each text, and what they decode to, a row for each row; a null text has no ids and decodes to an empty one."""
+    both = round_trip(docs.select("doc_id", "text"), MODEL)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").alias("text"))
 
 
