@@ -8,7 +8,7 @@ word numbers, and streams its stretches through it to find every occurrence.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import ahocorasick
 import numpy as np
@@ -85,18 +85,31 @@ def later_windows(rows: list[dict], length: int, salt: int = 0) -> list[np.ndarr
     for passage, n in known.items():
         shard.add_word(passage, n)
     shard.make_automaton()
-    found = np.array([(k, end, n) for k, line in lines.items() for end, n in shard.iter(line)], np.int64).reshape(-1, 3)
     windows = np.array([len(passage) - length + 1 for passage in known], np.int64)
-    begin = found[:, 1] + 2 - length - windows[found[:, 2]]
-    where = base[found[:, 0]] + begin
     first = np.full(len(known), np.iinfo(np.int64).max)
-    np.minimum.at(first, found[:, 2], where)
+    for k, begin, n in _occurrences(shard, lines, windows, length):
+        np.minimum.at(first, n, base[k] + begin)
     if (first[number] > place[least[heads]]).any():
         return later_windows(rows, length, salt + 1)
-    again = where > first[found[:, 2]]
-    for k, a, n in zip(found[again, 0].tolist(), begin[again].tolist(), windows[found[again, 2]].tolist()):
-        out[k][a : a + n] = True
-    return out
+    cover = np.zeros(len(owner) + 1, np.int64)
+    start = np.cumsum(counts) - counts
+    for k, begin, n in _occurrences(shard, lines, windows, length):
+        again = base[k] + begin > first[n]
+        at = start[k[again]] + begin[again]
+        np.add.at(cover, at, 1)
+        np.add.at(cover, at + windows[n[again]], -1)
+    return np.split(np.cumsum(cover[:-1]) > 0, start[1:])
+
+
+def _occurrences(shard: ahocorasick.Automaton, lines: dict[int, tuple], windows: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Stretch, first window and number of each passage that the automaton finds, for some stretches at a time.
+
+    Stretches alike but for their ends hold many passages inside each other, so all finds at once could be large.
+    """
+    own = iter(lines.items())
+    while some := list(islice(own, 1024)):
+        found = np.fromiter((x for k, line in some for end, n in shard.iter(line) for x in (k, end, n)), np.int64).reshape(-1, 3)
+        yield found[:, 0], found[:, 1] + 2 - length - windows[found[:, 2]], found[:, 2]
 
 
 SHARDED = "anchor long, content long, count int, ranges array<struct<a:int,b:int>>"
